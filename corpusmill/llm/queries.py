@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from corpusmill.llm import cooccurrence, distinctiveness, term_counts
+from pyspark.sql import functions as F
+
+from corpusmill.llm import bpe, cooccurrence, distinctiveness, leakage, shared_spans, term_counts
 from corpusmill.session import table
 
 
@@ -19,8 +21,6 @@ def p5_found(spark, d):
 
 
 def p5_llr(spark, d):
-    from pyspark.sql import functions as F
-
     return cooccurrence.cooccurrence(table(spark, d, "strands")).select("tag_a", "tag_b", "n_ab", "n_a", "n_b", F.round("lift", 6).alias("lift"), F.round("llr", 4).alias("llr"))
 
 
@@ -29,12 +29,36 @@ def p6_found(spark, d):
 
 
 def p6_ppmi(spark, d):
-    from pyspark.sql import functions as F
-
     return distinctiveness.term_scores(table(spark, d, "keywords")).select("file_path", "keyword", "f", "n", F.round("weight", 5).alias("weight"), F.round("ppmi", 5).alias("ppmi"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p5_found, p5_llr, p6_found, p6_ppmi)}
+def p8_ids(spark, d):
+    return bpe.token_ids(table(spark, d, "documents"))
+
+
+def p9_found(spark, d):
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_items(spark, d):
+    """Per item that leaked: how many documents hold a part of it, and how long a part; words within 2 of their place count as matched."""
+    x = leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), slop=2)
+    return x.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("longest").alias("longest"), F.max(F.round(F.col("matched") / F.col("words"), 4)).alias("share"))
+
+
+def p10_found(spark, d):
+    return shared_spans.recurring(table(spark, d, "documents"))
+
+
+def p10_coverage(spark, d):
+    return shared_spans.coverage(table(spark, d, "documents")).select("doc_id", "n_chars", "shared", F.round("share", 6).alias("share"))
+
+
+def p10_passages(spark, d):
+    return shared_spans.passages(table(spark, d, "documents")).select("a", "b", "a_start", "a_end", "b_start", "b_end", "longest", F.round("score", 3).alias("score"), F.round("identity", 4).alias("identity"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p5_found, p5_llr, p6_found, p6_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
 
 _PLAIN = r"nullif(regexp_replace(regexp_replace(lower(nfc_normalize({0})), '[\s_\-]+', '-', 'g'), '^-+|-+$', '', 'g'), '')"
 _KEYWORD = _PLAIN.format("keyword")
@@ -57,7 +81,18 @@ z as (select tag_a, tag_b, n_ab, ca.c as n_a, cb.c as n_b, n.n as n, n_ab * n.n
   where ca.tag = tag_a and cb.tag = tag_b and n_ab >= 5 and n_ab >= 0.002 * n.n and n_ab * n.n >= 4 * ca.c * cb.c)"""
 _X = "(case when {0} > 0 then ({0}) * ln({0}) else 0 end)".format
 
+_WINDOWS = """with d as (select doc_id, text, length(text) as n from documents where text is not null and length(text) >= 300),
+s as (select doc_id, text, unnest(range(1, n - 299 + 1)) as i from d),
+w as (select doc_id, i, md5(substring(text, i, 300)) as h from s),
+t as (select h from w group by h having min(doc_id) <> max(doc_id)),
+m as (select doc_id, i from w semi join t using (h))"""
+
 SQL = {
+    "p10_found": f"{_WINDOWS} select distinct doc_id from m",
+    "p10_coverage": f"""{_WINDOWS}, g as (select doc_id, least(300, coalesce(lead(i) over (partition by doc_id order by i) - i, 300)) as new from m),
+c as (select doc_id, sum(new)::bigint as part from g group by 1)
+select doc_id, coalesce(length(text), 0)::bigint as n_chars, coalesce(part, 0)::bigint as shared, case when coalesce(length(text), 0) > 0 then round(coalesce(part, 0) / length(text), 6) else 0 end as share
+from documents left join c using (doc_id)""",
     "p3_found": f"{_COUNTS} select keyword, mark from c where mark is not null",
     "p3_counts": f"{_COUNTS} select keyword, occurrences, files, mark from c",
     "p5_found": f"{_PAIRS} select tag_a, tag_b from z",
