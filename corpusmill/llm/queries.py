@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, cooccurrence, distinctiveness, leakage, shared_spans, term_counts
+from corpusmill.llm import bpe, canonical, cooccurrence, distinctiveness, leakage, shared_spans, term_counts
 from corpusmill.session import table
 
 
+def p1_found(spark, d):
+    return canonical.map_tags(table(spark, d, "strands"), table(spark, d, "canonical_tags"))
+
+
+def p1_unmatched(spark, d):
+    """Values that mean no entry, with the number of strands that hold them."""
+    return p1_found(spark, d).where("tag = 'none'").groupBy("raw_tag").agg(F.count("*").alias("strands"))
+
+
 def p3_found(spark, d):
     return term_counts.term_counts(table(spark, d, "keywords")).where("mark is not null").select("keyword", "mark")
 
@@ -58,7 +67,7 @@ def p10_passages(spark, d):
     return shared_spans.passages(table(spark, d, "documents")).select("a", "b", "a_start", "a_end", "b_start", "b_end", "longest", F.round("score", 3).alias("score"), F.round("identity", 4).alias("identity"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p5_found, p5_llr, p6_found, p6_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_counts, p5_found, p5_llr, p6_found, p6_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
 
 _PLAIN = r"nullif(regexp_replace(regexp_replace(lower(nfc_normalize({0})), '[\s_\-]+', '-', 'g'), '^-+|-+$', '', 'g'), '')"
 _KEYWORD = _PLAIN.format("keyword")
