@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, canonical, cooccurrence, distinctiveness, leakage, shared_spans, term_counts
+from corpusmill.llm import bpe, canonical, cooccurrence, distinctiveness, leakage, reading_level, shared_spans, subjects, term_counts
 from corpusmill.session import table
 
 
@@ -17,6 +17,18 @@ def p1_unmatched(spark, d):
     return p1_found(spark, d).where("tag = 'none'").groupBy("raw_tag").agg(F.count("*").alias("strands"))
 
 
+def p2_found(spark, d):
+    return reading_level.reading_levels(table(spark, d, "strands"), table(spark, d, "strand_labels")).select("path", "difficulty")
+
+
+def p2_profile(spark, d):
+    """How demanding each weave's texts are: number and mean calibrated grade (0 beginner .. 3 expert) by level."""
+    s = table(spark, d, "strands")
+    weave = s.select("path", "weave").where("path is not null").groupBy("path").agg(F.min("weave").alias("weave"))
+    r = reading_level.reading_levels(s, table(spark, d, "strand_labels"))
+    return r.join(weave, "path").groupBy("weave", "difficulty").agg(F.count("*").alias("strands"), F.round(F.avg("grade"), 4).alias("grade"))
+
+
 def p3_found(spark, d):
     return term_counts.term_counts(table(spark, d, "keywords")).where("mark is not null").select("keyword", "mark")
 
@@ -25,6 +37,19 @@ def p3_counts(spark, d):
     return term_counts.term_counts(table(spark, d, "keywords")).select("keyword", "occurrences", "files", "mark")
 
 
+def _subjects(spark, d):
+    return subjects.subject_areas(*(table(spark, d, t) for t in ("strands", "strand_labels", "subjects", "stats")))
+
+
+def p4_found(spark, d):
+    return _subjects(spark, d).select("path", "subject")
+
+
+def p4_composition(spark, d):
+    """Strands and mean posterior of each subject."""
+    return _subjects(spark, d).groupBy("subject").agg(F.count("*").alias("strands"), F.round(F.avg("posterior"), 4).alias("posterior"))
+
+
 def p5_found(spark, d):
     return cooccurrence.cooccurrence(table(spark, d, "strands")).select("tag_a", "tag_b")
 
@@ -67,7 +92,7 @@ def p10_passages(spark, d):
     return shared_spans.passages(table(spark, d, "documents")).select("a", "b", "a_start", "a_end", "b_start", "b_end", "longest", F.round("score", 3).alias("score"), F.round("identity", 4).alias("identity"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_counts, p5_found, p5_llr, p6_found, p6_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_profile, p3_found, p3_counts, p4_found, p4_composition, p5_found, p5_llr, p6_found, p6_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
 
 _PLAIN = r"nullif(regexp_replace(regexp_replace(lower(nfc_normalize({0})), '[\s_\-]+', '-', 'g'), '^-+|-+$', '', 'g'), '')"
 _KEYWORD = _PLAIN.format("keyword")
