@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.plans import incremental
+from corpusmill.plans import incremental, text
 
-MODULES = [incremental]
+MODULES = [text, incremental]
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
