@@ -55,7 +55,7 @@ POSITIVE = {
 }
 TAGS = {
     "subjects": ("computing", "knowledge-systems", "education", "ai", "design"),
-    "topics": ("openstrand", "architecture", "ingestion", "schema", "rag", "graph"),
+    "topics": ("architecture", "ingestion", "schema", "rag", "graph"),
     "subtopics": ("api", "pipelines", "metadata", "search", "embeddings", "indexing"),
 }
 

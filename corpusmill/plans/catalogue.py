@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.plans import blocks, incremental, stats, text
+from corpusmill.plans import blocks, classify, incremental, stats, text
 
-MODULES = [text, stats, blocks, incremental]
+MODULES = [text, stats, classify, blocks, incremental]
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
