@@ -163,7 +163,7 @@ def commit(message: Column) -> Column:
 
 def first_json(text: Column) -> Column:
     """The JSON of a model's answer: that of a fenced block, else the outermost braces or brackets; null if none parses."""
-    fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1)
+    fenced = trim(F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1))
     raw = F.regexp_extract(text, r"(?s)(\{.*\}|\[.*\])", 1)
     pick = F.when(fenced != "", fenced).when(raw != "", raw)
     return F.when(F.try_parse_json(pick).isNotNull(), pick)

@@ -80,7 +80,7 @@ def hybrid_score(spark, d):
     n = C.nearest(e, e.where("vec_id % 100 = 0"), 20)
     lab = e.select("vec_id", "label")
     j = n.join(lab, "vec_id").join(lab.select(F.col("vec_id").alias("query_id"), F.col("label").alias("query_label")), "query_id")
-    return j.select("query_id", "vec_id", F.round(0.7 * F.col("cosine") + F.when(F.col("label") == F.col("query_label"), 0.3).otherwise(0.0), 6).alias("score"))
+    return j.select("query_id", "vec_id", F.round(0.7 * F.col("cosine") + F.when(F.col("label") == F.col("query_label"), 0.3).otherwise(0.0), 7).alias("score"))
 
 
 def packed_vectors(spark, d):
@@ -131,6 +131,6 @@ select doc_id, term, score, row_number() over (partition by doc_id order by scor
     "corpus_stats": f"with {_TF} select (select count(*) from docs)::bigint as documents, round((select avg(greatest(len(w), 1)::double) from ws), 6) as average_length, (select count(distinct term) from tf)::bigint as vocabulary",
     "new_terms_df3": f"with {_TF} select term, count(*)::bigint as df from tf where term not in ({_KNOWN}) group by term having count(*) >= 3 order by df desc, term limit 20",
     "vector_topk": f"with {_COS} select query_id, vec_id, cosine, row_number() over (partition by query_id order by cosine desc, vec_id)::int as rank from p qualify rank <= 5",
-    "hybrid_score": f"with {_COS}, r as (select *, row_number() over (partition by query_id order by cosine desc, vec_id) as rank from p) select query_id, vec_id, round(0.7::double * cosine + case when label = query_label then 0.3::double else 0 end, 6) as score from r where rank <= 20",
+    "hybrid_score": f"with {_COS}, r as (select *, row_number() over (partition by query_id order by cosine desc, vec_id) as rank from p) select query_id, vec_id, round(0.7::double * cosine + case when label = query_label then 0.3::double else 0 end, 7) as score from r where rank <= 20",
     "related_looms": "with t as (select distinct weave || '/' || slug as loom, unnest(tags) as tag from looms) select a.loom as loom, b.loom as other, count(*)::bigint as shared from t a join t b on a.tag = b.tag and a.loom < b.loom group by 1, 2",
 }

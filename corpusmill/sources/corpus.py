@@ -22,7 +22,7 @@ def read_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("md"
     base = root.rstrip("/").removeprefix("file://") + "/"
     rel = F.regexp_extract("path", "^(?:[a-z0-9]+:/+(?=/))?.*?" + _quote(base) + "(.*)$", 1)
     hidden = rel.rlike(r"(^|/)\.|(^|/)(" + "|".join(skipped) + ")/")
-    return f.where(~hidden).select(rel.alias("path"), F.decode("content", F.lit("UTF-8")).alias("text"), F.unix_millis("modificationTime").alias("mtime"), F.col("length").alias("size"))
+    return f.where(~hidden).select(rel.alias("path"), F.col("content").cast("string").alias("text"), F.unix_millis("modificationTime").alias("mtime"), F.col("length").alias("size"))
 
 
 def _quote(s: str) -> str:
