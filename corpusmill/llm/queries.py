@@ -115,6 +115,32 @@ z as (select tag_a, tag_b, n_ab, ca.c as n_a, cb.c as n_b, n.n as n, n_ab * n.n
   where ca.tag = tag_a and cb.tag = tag_b and n_ab >= 5 and n_ab >= 0.002 * n.n and n_ab * n.n >= 4 * ca.c * cb.c)"""
 _X = "(case when {0} > 0 then ({0}) * ln({0}) else 0 end)".format
 
+_LETTERS = "[" + ", ".join(f"'{c}'" for c in canonical._LETTERS) + "]"
+_N = "(length({0}) - length(replace({0}, c, '')))".format
+_OVER = lambda a, b: f"list_sum([greatest(0, {_N(a)} - {_N(b)}) for c in {_LETTERS}])"
+_FOLD = lambda t: f"translate(lower(strip_accents({t})), '{canonical._LOOKALIKE[0]}', '{canonical._LOOKALIKE[1]}')"
+_TOK = lambda t: f"list_filter(regexp_split_to_array({t}, '[^a-z0-9]+'), lambda x: x <> '')"
+_IN = lambda words: ", ".join(f"'{w}'" for w in words)
+_SLIPS = "(case " + " ".join(f"when length(rk.key) >= {n} then {s}" for n, s in canonical.SLIPS) + " else 0 end)"
+#: Every value against every reference, without segments.
+_CANON = f"""
+with t as (select path, unnest(tags) as raw_tag from strands where path is not null),
+u as (select distinct path, raw_tag from t where trim(raw_tag) <> '' and raw_tag not in (select tag from canonical_tags)),
+v as (select raw_tag, {_FOLD("raw_tag")} as f from (select distinct raw_tag from u)),
+w as (select raw_tag, {_TOK("f")} as w0, {_TOK("regexp_replace(f, '^.*[:/]([^a-z0-9]*[a-z0-9].*)$', '" + chr(92) + "1')")} as w1 from v),
+g as (select *, len(w1) > 1 and w1[1] in ({_IN(canonical.LEADING)}) as a, len(w1) > 1 and w1[-1] in ({_IN(canonical.TRAILING)}) as b from w),
+forms as (select raw_tag, 0 as form, w0 as w from g union all select raw_tag, 1, w1 from g union all select raw_tag, 2, w1[2:] from g where a union all select raw_tag, 3, w1[:-2] from g where b
+  union all select raw_tag, 4, w1[2:-2] from g where a and b and len(w1) > 2),
+k as (select raw_tag, form, array_to_string(w, '') as key, array_to_string(list_sort(w), '') as skey from forms),
+r as (select tag, 0 as alias, tag as name from canonical_tags union all select tag, 1, unnest(aliases) from canonical_tags),
+rk as (select tag, alias, array_to_string({_TOK(_FOLD("name"))}, '') as key, array_to_string(list_sort({_TOK(_FOLD("name"))}), '') as skey from r),
+near as (select raw_tag, alias, tag, {_SLIPS} as slips, levenshtein(k.key, rk.key) as d, greatest({_OVER("k.key", "rk.key")}, {_OVER("rk.key", "k.key")}) as bag from k join rk
+  on length(k.key) > 2 and length(rk.key) >= 5 and abs(length(k.key) - length(rk.key)) <= {_SLIPS} and levenshtein(k.key, rk.key) <= 2 * {_SLIPS}),
+c as (select raw_tag, 0 as kind, form as s, 0 as d, alias, tag from k join rk using (key) union all select raw_tag, 1, form, 0, alias, tag from k join rk using (skey)
+  union all select raw_tag, 2, d + bag, d, alias, tag from near where d + bag <= 2 * slips),
+best as (select * from c qualify row_number() over (partition by raw_tag order by kind, s, d, alias, tag) = 1),
+found as (select path, raw_tag, coalesce(tag, 'none') as tag from u left join best using (raw_tag))"""
+
 _WINDOWS = """with d as (select doc_id, text, length(text) as n from documents where text is not null and length(text) >= 300),
 s as (select doc_id, text, unnest(range(1, n - 299 + 1)) as i from d),
 w as (select doc_id, i, md5(substring(text, i, 300)) as h from s),
@@ -122,6 +148,8 @@ t as (select h from w group by h having min(doc_id) <> max(doc_id)),
 m as (select doc_id, i from w semi join t using (h))"""
 
 SQL = {
+    "p1_found": f"{_CANON} select path, raw_tag, tag from found",
+    "p1_unmatched": f"{_CANON} select raw_tag, count(*)::bigint as strands from found where tag = 'none' group by raw_tag",
     "p10_found": f"{_WINDOWS} select distinct doc_id from m",
     "p10_coverage": f"""{_WINDOWS}, g as (select doc_id, least(300, coalesce(lead(i) over (partition by doc_id order by i) - i, 300)) as new from m),
 c as (select doc_id, sum(new)::bigint as part from g group by 1)
