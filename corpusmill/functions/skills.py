@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from corpusmill.functions.markdown import LANGUAGES
+
 # Fence language to skill.
 FENCES = {
     "javascript": "javascript", "js": "javascript", "typescript": "typescript", "ts": "typescript", "python": "python", "py": "python", "rust": "rust", "rs": "rust", "go": "go", "golang": "go",
@@ -54,6 +56,14 @@ SOFT = {
 }
 
 
+def code_language(code: Column) -> Column:
+    """Language of a piece of code by the first pattern that matches, null if none does."""
+    c = None
+    for name, pattern in LANGUAGES:
+        c = F.when(code.rlike(pattern), name) if c is None else c.when(code.rlike(pattern), name)
+    return c
+
+
 def fence_languages(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"```(\w+)"), F.lit(1)), F.lower)
 

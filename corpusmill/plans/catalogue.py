@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.plans import blocks, classify, incremental, quality, stats, text
+from corpusmill.plans import blocks, classify, incremental, pipeline, quality, stats, text
 
-MODULES = [text, stats, classify, blocks, quality, incremental]
+MODULES = [text, stats, classify, blocks, quality, pipeline, incremental]
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
