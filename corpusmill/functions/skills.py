@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import Column, functions as F
 
 from corpusmill.functions.markdown import LANGUAGES
@@ -74,9 +77,44 @@ def fence_skills(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(F.transform(fence_languages(text), lambda w: F.try_element_at(table, w)), lambda s: s.isNotNull())))
 
 
+def guards(pattern: str) -> list[str]:
+    """For each top-level alternative of a pattern a literal that every match holds (lower case, the longest); empty if one has none."""
+    parts, depth, start = [], 0, 0
+    for i, c in enumerate(pattern):
+        if c in "([" and pattern[i - 1 : i] != "\\":
+            depth += 1
+        elif c in ")]" and pattern[i - 1 : i] != "\\":
+            depth -= 1
+        elif c == "|" and not depth:
+            parts.append(pattern[start:i])
+            start = i + 1
+    parts.append(pattern[start:])
+    out = []
+    for p in parts:
+        while p != (q := re.sub(r"(?<!\\)\([^()]*\)\??|(?<!\\)\[[^\]]*\][?*+]?", " ", p)):
+            p = q
+        p = re.sub(r"\\([.(/])", r"\1", re.sub(r"\\[swb][*+?]?|\.[*+?]|.\?", " ", p.replace("\\.", "\0"))).replace("\0", ".")
+        best = max(p.split(), key=len, default="")
+        if not best:
+            return []
+        out.append(best.lower())
+    return out
+
+
+def guarded(text: Column, low: Column, pattern: str, flags: str = "(?i)") -> Column:
+    """Whether the text matches; a search for the pattern's literals, which is far cheaper, comes first."""
+    hit = None
+    for g in guards(pattern):
+        hit = F.contains(low, F.lit(g)) if hit is None else hit | F.contains(low, F.lit(g))
+    match = text.rlike(flags + pattern)
+    return match if hit is None else hit & match
+
+
 def imported(text: Column) -> Column:
     """Distinct packages of all import statements, lower case."""
-    return F.array_distinct(F.transform(F.concat(*(F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in IMPORTS)), F.lower))
+    none = F.array().cast("array<string>")
+    found = [F.when(F.contains(text, F.lit(word)), F.regexp_extract_all(text, F.lit(p), F.lit(1))).otherwise(none) for word, p in zip(("import", "require", "from", "import", "use"), IMPORTS)]
+    return F.array_distinct(F.transform(F.concat(*found), F.lower))
 
 
 def package_skill(package: Column) -> Column:
@@ -88,16 +126,17 @@ def package_skill(package: Column) -> Column:
 
 
 def pattern_skills(text: Column) -> Column:
-    """Distinct skills whose patterns the text holds: one regular expression per skill."""
-    by: dict[str, list[str]] = {}
+    """Distinct skills of which a pattern matches the text."""
+    low = F.lower(text)
+    by: dict[str, Column] = {}
     for p, s in PATTERNS:
-        by.setdefault(s, []).append(p)
-    hits = [F.when(text.rlike("(?i)" + "|".join(f"(?:{p})" for p in ps)), s) for s, ps in by.items()]
-    return F.array_sort(F.filter(F.array(*hits), lambda x: x.isNotNull()))
+        by[s] = by[s] | guarded(text, low, p) if s in by else guarded(text, low, p)
+    return F.array_sort(F.filter(F.array(*[F.when(c, s) for s, c in by.items()]), lambda x: x.isNotNull()))
 
 
 def soft_skills(text: Column) -> Column:
     """Skills of which at least two words occur, whole words only; inflected forms do not count."""
     low = F.lower(text)
-    hits = [F.when(F.regexp_count(low, F.lit(r"\b(" + "|".join(ws) + r")\b")) >= 2, s) for s, ws in SOFT.items()]
+    some = lambda ws: functools.reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in ws])
+    hits = [F.when(some(ws) & (F.regexp_count(low, F.lit(r"\b(" + "|".join(ws) + r")\b")) >= 2), s) for s, ws in SOFT.items()]
     return F.array_sort(F.filter(F.array(*hits), lambda x: x.isNotNull()))

@@ -101,13 +101,12 @@ def with_summary(df: DataFrame, text: str = "text", out: str = "summary", stop:
     anew for every element.
     """
     d = df.withColumn("_clean", clean_markdown(F.col(text))).withColumn("_key", F.slice(tokens(F.col("_clean"), stop=stop), 1, 20)).withColumn("_sentences", split_sentences(F.col("_clean"), 20))
-    d = d.withColumn("_words", F.transform("_sentences", lambda s: tokens(s, stop=stop)))
-    score = lambda i: F.size(F.filter(F.get(F.col("_words"), i), lambda w: F.array_contains(F.col("_key"), w)))
-    d = d.withColumn("_best", F.array_min(F.transform("_sentences", lambda s, i: F.struct((-score(i)).alias("n"), i.alias("i"), s.alias("s")))))
+    score = lambda s: F.size(F.filter(tokens(s, stop=stop), lambda w: F.array_contains(F.col("_key"), w)))
+    d = d.withColumn("_best", F.array_min(F.transform("_sentences", lambda s, i: F.struct((-score(s)).alias("n"), i.alias("i"), s.alias("s")))))
     best = F.col("_best.s")
     short = F.when(F.length(best) > 300, F.concat(F.substring(best, 1, 297), F.lit("..."))).otherwise(best)
     d = d.withColumn(out, F.when(F.size("_sentences") == 0, F.concat(F.substring("_clean", 1, 200), F.lit("..."))).otherwise(short))
-    return d.drop("_clean", "_key", "_sentences", "_words", "_best")
+    return d.drop("_clean", "_key", "_sentences", "_best")
 
 
 def syllables(word: Column) -> Column:

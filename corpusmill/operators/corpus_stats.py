@@ -94,7 +94,8 @@ def bm25(docs: DataFrame, words: Column, terms: Sequence[str], k: int = 20, k1:
         f, df, n = F.col(f"f{i}"), F.lit(s[f"d{i}"]), F.lit(s["n"])
         idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
         score = score + F.when(f > 0, idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("length") / F.lit(s["mean"] or 1.0)))).otherwise(0.0)
-    top = d.select("doc_id", F.round(score, 6).alias("score")).where("score > 0").orderBy(F.desc("score"), "doc_id").limit(k)
+    # The filter comes after the limit: before it, it would be pushed below the projections and compute the tokens again.
+    top = d.select("doc_id", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(k).where("score > 0")
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "doc_id")))  # k rows
 
 

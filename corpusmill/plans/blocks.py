@@ -8,7 +8,7 @@ from corpusmill.functions import text as T
 from corpusmill.functions.vocabulary import tag_terms
 from corpusmill.operators import blocks as B
 from corpusmill.plans.text import DOCS, tok
-from corpusmill.session import table
+from corpusmill.session import spread, table
 
 _BIG = lambda *cols: [F.col(c).cast("bigint").alias(c) for c in cols]
 
@@ -16,12 +16,12 @@ _BIG = lambda *cols: [F.col(c).cast("bigint").alias(c) for c in cols]  # noqa: E
 def _docs(spark, d):
     """doc_id, text, tags of the strand with the document's path."""
     s = table(spark, d, "strands").where("path is not null").groupBy("path").agg(F.max("tags").alias("tags"))
-    x = table(spark, d, "documents").select("doc_id", "text", "path")
+    x = spread(table(spark, d, "documents").select("doc_id", "text", "path"))
     return x.join(s, "path", "left").select("doc_id", "text", "tags")
 
 
 def _blocks(spark, d, **more):
-    return B.blocks(table(spark, d, "documents").select("doc_id", "text", F.lit(None).cast("array<string>").alias("tags")), **({"tagger": "none"} | more))
+    return B.blocks(spread(table(spark, d, "documents").select("doc_id", "text")).withColumn("tags", F.lit(None).cast("array<string>")), **({"tagger": "none"} | more))
 
 
 def md_blocks(spark, d):

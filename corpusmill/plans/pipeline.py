@@ -10,13 +10,13 @@ from corpusmill.functions.register import register
 from corpusmill.operators import corpus_stats as S, pipeline as P
 from corpusmill.plans.blocks import _HEADS, _docs
 from corpusmill.plans.text import DOCS, docs, tok
-from corpusmill.session import table
+from corpusmill.session import spread, table
 from corpusmill.sources import corpus as R
 
 
 def _full(spark, d):
     s = table(spark, d, "strands").where("path is not null").groupBy("path").agg(F.max("summary").alias("summary"))
-    return table(spark, d, "documents").select("doc_id", "path", "title", "text").join(s, "path", "left")
+    return spread(table(spark, d, "documents").select("doc_id", "path", "title", "text")).join(s, "path", "left")
 
 
 def _strand_words(spark, d):

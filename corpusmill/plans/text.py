@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
-from corpusmill.session import table
+from corpusmill.session import spread, table
 
 STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
 
 
 def docs(spark, d):
     """doc_id, text ('' for null), path, title."""
-    return table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "path", "title")
+    return spread(table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "path", "title"))
 
 
 def _counts(spark, d, words):

@@ -35,6 +35,16 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in at least as many partitions as there are cores.
+
+    For narrow work that takes long per row. A small file is one partition and would keep one core busy; input that
+    already has a partition for each core - any of more than some hundred MB - is left as it is, without a shuffle.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df._jdf.queryExecution().toRdd().getNumPartitions() < n else df
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; only where that is unset, a local folder for tests on one machine."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
