@@ -21,6 +21,16 @@ def trim(text: Column) -> Column:
     return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+$", "")
 
 
+def exploded(df: DataFrame, keep: Sequence[str], array: Column, name: str, pos: str | None = None) -> DataFrame:
+    """The columns `keep` and a row per element (no nulls) of a computed array, with its place as `pos` if asked for.
+
+    explode() of a computed array makes the optimiser filter on its size first, which computes it twice or thrice;
+    explode_outer() does not.
+    """
+    g = F.posexplode_outer(array).alias(pos, name) if pos else F.explode_outer(array).alias(name)
+    return df.select(*keep, g).where(F.col(name).isNotNull())
+
+
 def tokens(text: Column, keep: str = "_", least: int = 3, stop: Sequence[str] = ()) -> Column:
     """Lower-case runs of ASCII letters, digits and the characters `keep`, of at least `least` characters, without stop words."""
     # One predicate: stop words cost a hash lookup in InSet, no join and no second pass.

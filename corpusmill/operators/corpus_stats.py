@@ -31,7 +31,7 @@ def join_counts(rows: DataFrame, counts: DataFrame, key: str, value: str, hot: i
 
 def term_frequencies(docs: DataFrame, words: Column, key: str = "doc_id") -> DataFrame:
     """key, term, n, length (tokens of the document)."""
-    t = docs.select(key, words.alias("w")).select(key, F.size("w").alias("length"), F.explode("w").alias("term"))
+    t = T.exploded(docs.select(key, words.alias("w")).withColumn("length", F.size("w")), [key, "length"], F.col("w"), "term")
     return t.groupBy(key, "term").agg(F.count("*").alias("n"), F.first("length").alias("length"))
 
 
@@ -57,7 +57,7 @@ def max_normalised(docs: DataFrame, words: Column, key: str = "doc_id") -> DataF
 
 def repeated_phrases(docs: DataFrame, words: Column, n: int, k: int = 10, key: str = "doc_id") -> DataFrame:
     """key, phrase, n, rank: phrases of n words that occur more than once in a document, the k most frequent, ties by phrase."""
-    g = docs.select(key, words.alias("w")).select(key, F.explode(T.ngrams(F.col("w"), n)).alias("phrase")).groupBy(key, "phrase").agg(F.count("*").alias("n")).where("n > 1")
+    g = T.exploded(docs.select(key, words.alias("w")), [key], T.ngrams(F.col("w"), n), "phrase").groupBy(key, "phrase").agg(F.count("*").alias("n")).where("n > 1")
     w = Window.partitionBy(key).orderBy(F.desc("n"), "phrase")
     return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -73,7 +73,7 @@ def corpus_summary(docs: DataFrame, words: Column) -> DataFrame:
     """documents, average_length, vocabulary: one row. An empty document has length 1, as in the length the ranking uses."""
     t = docs.select(words.alias("w"))
     a = t.agg(F.count("*").alias("documents"), F.avg(F.greatest(F.size("w"), F.lit(1)).cast("double")).alias("average_length"))
-    v = t.select(F.explode("w").alias("term")).agg(F.count_distinct("term").alias("vocabulary"))
+    v = T.exploded(t, [], F.col("w"), "term").agg(F.count_distinct("term").alias("vocabulary"))
     return a.join(F.broadcast(v))
 
 
@@ -101,7 +101,7 @@ def bm25(docs: DataFrame, words: Column, terms: Sequence[str], k: int = 20, k1:
 
 def new_terms(docs: DataFrame, words: Column, known: DataFrame, least: int = 3, k: int = 20) -> DataFrame:
     """term, df of the k terms in most documents that the vocabulary `known`(term) lacks and at least `least` documents hold."""
-    df = docs.select("doc_id", F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= least)
+    df = T.exploded(docs, ["doc_id"], F.array_distinct(words), "term").groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= least)
     return df.join(F.broadcast(known), "term", "left_anti").orderBy(F.desc("df"), "term").limit(k)
 
 

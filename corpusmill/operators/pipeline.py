@@ -59,7 +59,7 @@ def placement(strands: DataFrame, words: Column) -> DataFrame:
 
     A loom's profile is its PROFILE most frequent words, so the profiles (a row per loom and word) are broadcast.
     """
-    t = strands.select("path", "loom", F.explode(words).alias("term")).groupBy("path", "loom", "term").agg(F.count("*").alias("n"))
+    t = T.exploded(strands, ["path", "loom"], words, "term").groupBy("path", "loom", "term").agg(F.count("*").alias("n"))
     total = t.groupBy("loom", "term").agg(F.sum("n").alias("w"))
     top = total.withColumn("r", F.row_number().over(Window.partitionBy("loom").orderBy(F.desc("w"), "term"))).where(F.col("r") <= PROFILE)
     profile = top.withColumn("len", F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("loom")))).select(F.col("loom").alias("to"), "term", (F.col("w") / F.col("len")).alias("p"))

@@ -152,7 +152,7 @@ def report(d: DataFrame) -> DataFrame:
 
 def common_messages(d: DataFrame, column: str, k: int = 10) -> DataFrame:
     """message, n of the k most frequent messages."""
-    return d.select(F.explode(column).alias("message")).groupBy("message").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "message").limit(k)
+    return T.exploded(d, [], F.col(column), "message").groupBy("message").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "message").limit(k)
 
 
 _TYPES = {"string": '^"', "number": r"^-?\d", "integer": r"^-?\d+$", "boolean": "^(true|false)$", "array": r"^\[", "object": r"^\{"}

@@ -40,24 +40,24 @@ def category_signals(spark, d):
 
 
 def skills_fences(spark, d):
-    return docs(spark, d).select("doc_id", F.explode(K.fence_skills(F.col("text"))).alias("skill"))
+    return T.exploded(docs(spark, d), ["doc_id"], K.fence_skills(F.col("text")), "skill")
 
 
 def imports_to_skills(spark, d):
-    p = docs(spark, d).select("doc_id", F.explode(K.imported(F.col("text"))).alias("package"))
+    p = T.exploded(docs(spark, d), ["doc_id"], K.imported(F.col("text")), "package")
     return p.select("doc_id", K.package_skill(F.col("package")).alias("skill")).where("skill is not null").distinct()
 
 
 def skills_patterns(spark, d):
-    return docs(spark, d).select("doc_id", F.explode(K.pattern_skills(F.col("text"))).alias("skill"))
+    return T.exploded(docs(spark, d), ["doc_id"], K.pattern_skills(F.col("text")), "skill")
 
 
 def skills_soft(spark, d):
-    return docs(spark, d).select("doc_id", F.explode(K.soft_skills(F.col("text"))).alias("skill"))
+    return T.exploded(docs(spark, d), ["doc_id"], K.soft_skills(F.col("text")), "skill")
 
 
 def skills_all(spark, d):
-    return C.skills(docs(spark, d)).select("doc_id", F.posexplode("skills").alias("pos", "skill"))
+    return T.exploded(C.skills(docs(spark, d)), ["doc_id"], F.col("skills"), "skill", "pos")
 
 
 def auto_categorise(spark, d):

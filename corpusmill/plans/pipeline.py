@@ -44,7 +44,7 @@ def embedding_input(spark, d):
 
 def code_languages(spark, d):
     """Languages of the fenced code by what is in it."""
-    c = docs(spark, d).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"(?s)```\w*\n(.*?)```"), F.lit(1))).alias("code"))
+    c = T.exploded(docs(spark, d), ["doc_id"], F.regexp_extract_all("text", F.lit(r"(?s)```\w*\n(.*?)```"), F.lit(1)), "code")
     return c.select("doc_id", K.code_language(F.col("code")).alias("language")).groupBy("doc_id", "language").agg(F.count("*").alias("n"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusmill.functions import text as T
 from corpusmill.operators import activity as A, quality as Q, snapshots as S
 from corpusmill.plans.text import docs
 from corpusmill.session import table
@@ -20,7 +21,7 @@ def _content(spark, d):
 
 
 def _messages(df, column):
-    return df.select("path", F.explode(column).alias("message"))
+    return T.exploded(df, ["path"], F.col(column), "message")
 
 
 def quality_rules(spark, d):
@@ -50,7 +51,7 @@ def strand_rules_schema(spark, d):
 
 def loom_rules(spark, d):
     x = Q.folder_rules(table(spark, d, "looms"), ("slug", "title", "summary"))
-    return x.select("weave", "slug", F.explode("errors").alias("message"))
+    return T.exploded(x, ["weave", "slug"], F.col("errors"), "message")
 
 
 def duplicate_ids(spark, d):
@@ -75,7 +76,7 @@ def json_schema_check(spark, d):
     """Difficulty objects and relationship edges against a small schema."""
     schema = {"type": "object", "required": ["overall", "cognitive"], "properties": {"overall": {"type": "string", "enum": list(Q.LEVELS)}, "cognitive": {"type": "number", "minimum": 1, "maximum": 8}}}
     s = _strands(spark, d).where("difficulty is not null").select("path", "difficulty").distinct()
-    return s.select("path", F.explode(Q.schema_errors(F.col("difficulty"), schema)).alias("message"))
+    return T.exploded(s, ["path"], Q.schema_errors(F.col("difficulty"), schema), "message")
 
 
 def _orders(spark, d):

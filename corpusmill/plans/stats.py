@@ -58,13 +58,13 @@ def new_terms_df3(spark, d):
 
 
 def porter_stems(spark, d):
-    t = docs(spark, d).select(F.explode(_ALL()).alias("term"))
+    t = T.exploded(docs(spark, d), [], _ALL(), "term")
     return S.stemmed(t, "term")
 
 
 def stemmed_label_counts(spark, d):
     """Score of each stem: count ln(length of its commonest term + 1)."""
-    n = docs(spark, d).select(F.explode(_W()).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    n = T.exploded(docs(spark, d), [], _W(), "term").groupBy("term").agg(F.count("*").alias("n"))
     j = n.join(S.stemmed(n, "term"), "term").groupBy("stem").agg(F.sum("n").alias("n"), F.max_by("term", F.struct("n", "term")).alias("label"))
     return j.select("stem", "label", "n", F.round(F.col("n") * F.log(F.length("label") + 1.0), 6).alias("score"))
 

@@ -16,7 +16,7 @@ def docs(spark, d):
 
 
 def _counts(spark, d, words):
-    return docs(spark, d).select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    return T.exploded(docs(spark, d), ["doc_id"], words, "term").groupBy("doc_id", "term").agg(F.count("*").alias("n"))
 
 
 def token_counts(spark, d):
@@ -37,7 +37,7 @@ def token_counts_terms(spark, d):
 
 def stopword_share(spark, d):
     """How many tokens of a language are stop words."""
-    t = table(spark, d, "documents").select(F.lower(F.coalesce("lang", F.lit("?"))).alias("lang"), F.explode(T.tokens(F.coalesce("text", F.lit("")), least=1)).alias("w"))
+    t = T.exploded(table(spark, d, "documents").select(F.lower(F.coalesce("lang", F.lit("?"))).alias("lang"), "text"), ["lang"], T.tokens(F.coalesce("text", F.lit("")), least=1), "w")
     return t.where("w <> ''").groupBy("lang").agg(F.count("*").alias("tokens"), F.count_if(F.col("w").isin(*T.STOP_WORDS)).alias("stops"))
 
 
@@ -61,13 +61,13 @@ def path_parts(spark, d):
 
 
 def inline_tags(spark, d):
-    return docs(spark, d).select("doc_id", F.posexplode(T.hashtags(F.col("text"))).alias("pos", "tag")).select("doc_id", F.col("pos").cast("bigint").alias("pos"), "tag")
+    return T.exploded(docs(spark, d), ["doc_id"], T.hashtags(F.col("text")), "tag", "pos").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "tag")
 
 
 def inline_tag_lines(spark, d):
     """First line of each inline tag."""
-    lines = docs(spark, d).select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    t = lines.select("doc_id", "i", F.explode(T.hashtags(F.col("line"))).alias("tag"))
+    lines = T.exploded(docs(spark, d), ["doc_id"], F.split("text", "\n"), "line", "i")
+    t = T.exploded(lines, ["doc_id", "i"], T.hashtags(F.col("line")), "tag")
     return t.groupBy("doc_id", "tag").agg((F.min("i") + 1).cast("bigint").alias("line"))
 
 
@@ -84,7 +84,7 @@ def entity_density(spark, d):
 
 
 def entity_runs(spark, d):
-    return docs(spark, d).select("doc_id", F.posexplode(T.entities(F.col("text"))).alias("pos", "entity")).select("doc_id", F.col("pos").cast("bigint").alias("pos"), "entity")
+    return T.exploded(docs(spark, d), ["doc_id"], T.entities(F.col("text")), "entity", "pos").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "entity")
 
 
 def content_hashes(spark, d):
