@@ -45,6 +45,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(n) if df._jdf.queryExecution().toRdd().getNumPartitions() < n else df
 
 
+def wide(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` hashed by `keys` into as many partitions as a shuffle has, at least one per core.
+
+    For a shuffle that slow per-row work follows: the adaptive planner merges small shuffle partitions by their bytes,
+    which would leave cores idle. A grouping or join on the same keys needs no further shuffle.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; only where that is unset, a local folder for tests on one machine."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
