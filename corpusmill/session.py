@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -62,9 +64,10 @@ def scratch_root(spark: SparkSession) -> str:
         return conf.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    local = f"file://{os.path.join(tempfile.gettempdir(), 'corpusmill-' + spark.sparkContext.applicationId)}"
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    folder = os.path.join(tempfile.gettempdir(), "corpusmill-" + spark.sparkContext.applicationId)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", f"file://{folder}")
+    return f"file://{folder}"
 
 
 _written: list[str] = []
