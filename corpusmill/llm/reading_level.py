@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from corpusmill.llm._gbrt import Trees
+from corpusmill.session import wide
 
 # The grades in order.
 LEVELS = ("beginner", "intermediate", "advanced", "expert")
@@ -166,7 +167,7 @@ def _rated(strands: DataFrame) -> DataFrame:
     """path, summary, source of each path with a summary long enough; of several summaries the first in binary order."""
     s = strands.select("path", "summary", F.concat_ws("/", "weave", "loom").alias("source")).where("path is not null and summary is not null")
     s = s.where(F.size(F.filter(F.split("summary", r"(?U)\s+"), lambda w: w != "")) >= WORDS)
-    return s.groupBy("path").agg(F.min(F.struct("summary", "source")).alias("x")).select("path", "x.summary", "x.source")
+    return wide(s, "path").groupBy("path").agg(F.min(F.struct("summary", "source")).alias("x")).select("path", "x.summary", "x.source")
 
 
 def train(strands: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Model | None:
