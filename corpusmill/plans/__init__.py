@@ -1 +1 @@
-"""See the modules of this package."""
+"""Queries by family, each with its DuckDB SQL; catalogue.py puts them together."""

@@ -1 +1 @@
-"""See the modules of this package."""
+"""Readers of file trees, front-matter, indexes, logs and caches, and the matching writers."""

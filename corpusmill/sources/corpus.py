@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -63,6 +64,12 @@ def read_strands(spark: SparkSession, root: str) -> DataFrame:
     return f.select("path", yaml_json(front_matter(F.col("text"))).alias("metadata"), body(F.col("text")).alias("text"), "mtime", "size")
 
 
+def strand_template(title: str, identifier: str) -> str:
+    """A new document's text: front-matter with id, slug, title and version, and a heading."""
+    name = re.sub("[^a-z0-9]+", "-", title.lower())
+    return f'---\nid: {identifier}\nslug: {name}\ntitle: {json.dumps(title)}\nversion: 1.0.0\ncontentType: markdown\ndifficulty: beginner\ntags: []\n---\n\n# {title}\n'
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a JSON array; ValueError if it is missing, no array, or empty."""
     try:

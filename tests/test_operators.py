@@ -201,6 +201,12 @@ def test_corpus_files(spark, tmp_path):
     assert got == {"a/x.md": ('{"title": "T", "tags": ["q"]}', "Body"), "f.md": (None, "plain"), "g.md": (None, "B")}
 
 
+def test_template_is_read_back(spark):
+    pytest.importorskip("yaml")
+    d = spark.createDataFrame([(R.strand_template('A "new" page', "x-1"),)], "text string").select(R.yaml_json(R.front_matter(F.col("text"))).alias("m"), R.body(F.col("text")).alias("b")).first()
+    assert '"slug": "a-new-page"' in d.m and '"id": "x-1"' in d.m and d.b.strip() == '# A "new" page'
+
+
 def test_json_index_and_commits(spark, tmp_path):
     (tmp_path / "ok.json").write_text('[{"a": 1}]')
     (tmp_path / "empty.json").write_text("[]")
