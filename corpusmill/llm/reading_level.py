@@ -167,7 +167,8 @@ def _rated(strands: DataFrame) -> DataFrame:
     """path, summary, source of each path with a summary long enough; of several summaries the first in binary order."""
     s = strands.select("path", "summary", F.concat_ws("/", "weave", "loom").alias("source")).where("path is not null and summary is not null")
     s = s.where(F.size(F.filter(F.split("summary", r"(?U)\s+"), lambda w: w != "")) >= WORDS)
-    return wide(s, "path").groupBy("path").agg(F.min(F.struct("summary", "source")).alias("x")).select("path", "x.summary", "x.source")
+    # Repeated rows of a path are merged before the first shuffle; the second only spreads what is left over the cores.
+    return wide(s.groupBy("path").agg(F.min(F.struct("summary", "source")).alias("x")).select("path", "x.summary", "x.source"), "path")
 
 
 def train(strands: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Model | None:
