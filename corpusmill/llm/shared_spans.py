@@ -306,7 +306,11 @@ _PASSAGE = "a bigint, b bigint, a_start int, a_end int, b_start int, b_end int,
 
 
 def _chained(pairs: DataFrame, docs: DataFrame, span: int, least: float) -> DataFrame:
-    """Passages of each pair whose chain scores at least `least`."""
+    """Passages of each pair whose chain scores at least `least` or holds an anchor of `span` characters.
+
+    A chain that branches off a better one counts only its own anchors less the gaps, so its score may fall below
+    `least` however long an anchor it holds.
+    """
 
     def rows(r: dict):
         # Rows come mostly in order of a, of which a hot one has many partners.
@@ -316,7 +320,7 @@ def _chained(pairs: DataFrame, docs: DataFrame, span: int, least: float) -> Data
         found = anchors(x, y, span)
         out = []
         for score, chain in chains(found):
-            if score >= least:
+            if score >= least or any(found[i][2] >= span for i in chain):
                 x0, x1, y0, y1, longest, at, same = align(x, y, found, chain)
                 at_y = next(q for p, q, m in (found[i] for i in chain) if p == at and m == longest)
                 out.append((r["a"], r["b"], y0, y1, x0, x1, longest, at_y, at, score, same))
@@ -342,7 +346,8 @@ def passages(documents: DataFrame, span: int = 300) -> DataFrame:
        member of the key reaches it. Keys of documents not yet settled are therefore cut again with cells of one
        character, where all members agree on the whole window, and their partners chained likewise.
 
-    Pairs grow with the documents, not with pairs of documents. Chains scoring under span / 2 are not reported.
+    Pairs grow with the documents, not with pairs of documents. Chains scoring under span / 2 are reported only
+    where they hold `span` equal characters.
     Null or shorter texts and null ids give no rows; of rows with one doc_id and text one counts; an empty table
     gives no rows.
     """

@@ -144,6 +144,26 @@ def test_shared_spans_hot_group_and_long_text(spark):
     assert ss.recurring(docs(spark, [])).count() == 0 and ss.coverage(docs(spark, [])).count() == 0
 
 
+def test_shared_spans_keep_a_span_that_branches_off_a_better_chain(spark):
+    # the 300 characters at (2300, 1900) cost more gap than they score: their predecessor belongs to a better chain
+    rng = random.Random(8)
+    noise = lambda k, of: "".join(rng.choice(of) for _ in range(k))
+    pieces = [noise(n, "abcdefghijklm") for n in (290, 190, 190, 300)]
+
+    def text(places, of):
+        t = list(noise(2700, of))
+        for p, piece in zip(places, pieces):
+            t[p : p + len(piece)] = piece
+        return "".join(t)
+
+    rows = [(1, text((0, 2300, 2491, 1900), "nopqrst")), (2, text((0, 1900, 2091, 2300), "uvwxyz"))]
+    want = brute(rows, 300)
+    assert all(want.values())
+    df = docs(spark, rows)
+    assert {(r.a, r.b, r.longest_a, r.longest_b) for r in ss.passages(df).where("longest >= 300").collect()} == {(1, 2, 1900, 2300)}
+    assert {r.doc_id for r in ss.recurring(df).collect()} == set(want)
+
+
 def test_chain_prefers_collinear_anchors():
     anchors = [(0, 0, 30), (40, 500, 30), (45, 45, 30), (90, 95, 30)]
     best = ss.chains(anchors)[0]
