@@ -332,52 +332,58 @@ def _chained(pairs: DataFrame, docs: DataFrame, span: int, least: float) -> Data
     return _map(j.select("a", "b", "ta", "tb"), _PASSAGE, rows)
 
 
+def _passages(documents: DataFrame, span: int, every: bool) -> DataFrame:
+    """Passages by the steps of passages(); without `every` only keys of documents that lack a passage of `span` are cut again."""
+    docs = _classes(documents, span)
+    at = materialise(_shared(docs, span), "shared-seeds")
+    texts = docs.select("doc_id", "text")
+    keys = materialise(_cell_rows(texts.join(at, "doc_id"), span, CELL), "cells")
+    first = materialise(_chained(_partners(keys), texts, span, span / 2), "passages")
+    sizes = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    crowded = sizes.where("low <> high").select("key")
+    if not every:
+        done = first.where(F.col("longest") >= span).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        crowded = crowded.join(keys.join(done, "doc_id", "left_anti").select("key").distinct(), "key", "left_semi")
+    members = keys.join(crowded, "key", "left_semi").select("doc_id").distinct()
+    fine = _cell_rows(texts.join(at.join(members, "doc_id", "left_semi"), "doc_id"), span, 1)
+    tried = first.select("a", "b").distinct()
+    second = _chained(_partners(fine).join(tried, ["a", "b"], "left_anti"), texts, span, span / 2)
+    return first.unionByName(second)
+
+
 def passages(documents: DataFrame, span: int = 300) -> DataFrame:
     """a, b, a_start, a_end, b_start, b_end, longest, longest_a, longest_b, score, identity: passages that documents a < b share.
 
-    Exact copies stand for one another: a and b are the least doc_ids of their classes (see recurring()). Each
-    document that shares a verbatim span of `span` characters with another class is in a row with longest >= span:
+    Exact copies stand for one another: a and b are the least doc_ids of their classes (see recurring()). The classes
+    that hold a window of `span` characters hang together by rows of pairs that both hold it:
 
     1. Each window of `span` characters has a seed, its least k-mer; seeds of two classes are joined (counts first,
        so that nothing is keyed by a seed that only one class has).
     2. Documents with a shared seed give the grid substrings around it; documents of one key get partners.
     3. The pair's k-mer matches are chained (Fenwick tree) and aligned.
-    4. A pair of one grid key agrees on span - CELL + 1 characters, which may fall short of `span` though another
-       member of the key reaches it. Keys of documents not yet settled are therefore cut again with cells of one
-       character, where all members agree on the whole window, and their partners chained likewise.
+    4. A pair of one grid key agrees on span - CELL + 1 characters, which may fall short of `span` though other
+       members of the key reach it. Keys of several documents are therefore cut again with cells of one character,
+       where all members agree on the whole window, and their partners chained likewise.
 
-    Pairs grow with the documents, not with pairs of documents. Chains scoring under span / 2 are reported only
-    where they hold `span` equal characters.
+    Pairs grow with the documents and the different windows they share, not with pairs of documents. Chains scoring
+    under span / 2 are reported only where they hold `span` equal characters.
     Null or shorter texts and null ids give no rows; of rows with one doc_id and text one counts; an empty table
     gives no rows.
     """
-    docs = _classes(documents, span)
-    at = materialise(_shared(docs, span), "shared-seeds")
-    texts = docs.select("doc_id", "text")
-    keys = materialise(_cell_rows(texts.join(at, "doc_id"), span, CELL), "cells")
-    first = materialise(_chained(_partners(keys), texts, span, span / 2), "passages")
-    done = first.where(F.col("longest") >= span).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    open_ = keys.join(done, "doc_id", "left_anti").select("key").distinct()
-    sizes = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.approx_count_distinct("doc_id").alias("n"))
-    crowded = sizes.where("low <> high").join(open_, "key", "left_semi").select("key")
-    members = keys.join(crowded, "key", "left_semi").select("doc_id").distinct()
-    fine = _cell_rows(texts.join(at.join(members, "doc_id", "left_semi"), "doc_id"), span, 1)
-    tried = first.select("a", "b").distinct()
-    second = _chained(_partners(fine).join(tried, ["a", "b"], "left_anti"), texts, span, span / 2)
-    return first.unionByName(second)
+    return _passages(documents, span, True)
 
 
 def recurring(documents: DataFrame, span: int = 300) -> DataFrame:
     """doc_id of each document that holds `span` consecutive characters (code points) of another document's text.
 
     Documents with a copy are such if they are long enough; the others come from the verbatim runs of the chained
-    passages. Cases as in passages().
+    passages; one passage settles a document, so only keys of the others are cut again. Cases as in passages().
     """
     docs = _classes(documents, span)
     classes = docs.select("doc_id", "h")
     size = classes.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
     copies = classes.join(size, "h", "left_semi").select("doc_id")
-    p = passages(documents, span).where(F.col("longest") >= span)
+    p = _passages(documents, span, False).where(F.col("longest") >= span)
     return copies.unionByName(p.select(F.explode(F.array("a", "b")).alias("doc_id"))).distinct()
 
 

@@ -133,6 +133,39 @@ def test_shared_spans_find_what_a_representative_lacks(spark):
     assert {r.doc_id for r in ss.recurring(docs(spark, rows), 60).collect()} == {2, 3}
 
 
+def test_passages_link_texts_that_are_settled_by_others(spark):
+    # as above, but each of 1, 2 and 3 shares a passage with 4 as well; 1 holds every grid key of the core that 2 and 3 have in common
+    rng = random.Random(0)
+    noise = lambda k: "".join(rng.choice("klmnopqrstuvwxyz") for _ in range(k))
+    core, p, q, r = noise(62), noise(70), noise(70), noise(70)
+    rows = [(1, noise(40) + core[6:56] + noise(40) + p), (2, noise(40) + core + noise(40) + q), (3, noise(40) + core + noise(40) + r), (4, p + noise(40) + q + noise(40) + r)]
+    got = {(x.a, x.b) for x in ss.passages(docs(spark, rows), 60).where("longest >= 60").collect()}
+    assert got == {(1, 4), (2, 3), (2, 4), (3, 4)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_passages_connect_the_holders_of_every_window(spark, seed):
+    rows = made(seed)
+    copies = {}
+    for d, t in rows:
+        if d is not None:
+            copies.setdefault(t, d)
+    text = {d: t for t, d in copies.items() if t}
+    pairs = {(r.a, r.b) for r in ss.passages(docs(spark, rows), 60).where("longest >= 60").collect()}
+    holders = {}
+    for d, t in text.items():
+        for i in range(len(t) - 59):
+            holders.setdefault(t[i : i + 60], set()).add(d)
+    for held in holders.values():
+        reached, todo = set(), [min(held)]
+        while todo:
+            d = todo.pop()
+            if d not in reached:
+                reached.add(d)
+                todo += [x for x in held if (min(d, x), max(d, x)) in pairs]
+        assert reached == held
+
+
 def test_shared_spans_hot_group_and_long_text(spark):
     rng = random.Random(6)
     noise = lambda k: "".join(rng.choice("abcdefghijklmnop ") for _ in range(k))
