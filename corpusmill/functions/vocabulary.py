@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusmill.functions.stem import stem_term
 from corpusmill.functions.text import STOP_WORDS
 
+#: Term files of the package.
+SHIPPED = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "vocab")
 # The vocabulary used where no directory is given or it cannot be read.
 FALLBACK = {
     "subjects": {
@@ -60,8 +62,8 @@ TAGS = {
 }
 
 
-def read_terms(path: str) -> list[str]:
-    """Normalised terms of a file and their stems, in order, without repeats; # starts a comment line, a BOM is skipped."""
+def read_terms(path: str, stems_last: bool = False) -> list[str]:
+    """Normalised terms of a file, each with its stem or all stems last, in order, without repeats; # starts a comment line, a BOM is skipped."""
     out: dict[str, None] = {}
     with open(path, encoding="utf-8-sig") as f:
         for line in f:
@@ -70,8 +72,8 @@ def read_terms(path: str) -> list[str]:
                     term = re.sub("^-|-$", "", re.sub("-+", "-", re.sub("[^a-z0-9-]", "", raw.lower())))
                     if term:
                         out[term] = None
-                        out[stem_term(term)] = None
-    return list(out)
+    pairs = [(t, stem_term(t)) for t in out]
+    return list(dict.fromkeys([*out, *(s for _, s in pairs)] if stems_last else [x for p in pairs for x in p]))
 
 
 @dataclass
@@ -82,15 +84,23 @@ class Vocabulary:
     stop_words: tuple[str, ...] = STOP_WORDS
 
     @classmethod
-    def load(cls, directory: str | None) -> Vocabulary:
+    def load(cls, directory: str | None, stems_last: bool = False) -> Vocabulary:
         """`<directory>/<category>/<name>.txt` and `stopwords.txt`; the built-in vocabulary if that fails."""
         try:
-            cats = {c.name: {f.name[:-4]: tuple(read_terms(f.path)) for f in sorted(os.scandir(c.path), key=lambda e: e.name) if f.name.endswith(".txt")} for c in os.scandir(directory or "") if c.is_dir()}
+            cats = {c.name: {f.name[:-4]: tuple(read_terms(f.path, stems_last)) for f in sorted(os.scandir(c.path), key=lambda e: e.name) if f.name.endswith(".txt")} for c in sorted(os.scandir(directory or ""), key=lambda e: e.name) if c.is_dir()}
             stop = os.path.join(directory or "", "stopwords.txt")
             return cls(cats, tuple(read_terms(stop)) if os.path.exists(stop) else STOP_WORDS) if any(cats.values()) else cls()
         except OSError:
             return cls()
 
+    @classmethod
+    def shipped(cls) -> Vocabulary:
+        """The term files of the package; an error, not the built-in vocabulary, if they cannot be read."""
+        v = cls.load(SHIPPED, stems_last=True)
+        if v.categories is FALLBACK:
+            raise FileNotFoundError(f"no term files in {SHIPPED}")
+        return v
+
     def stats(self) -> dict[str, dict[str, int]]:
         return {c: {n: len(t) for n, t in names.items()} for c, names in self.categories.items()}
 

@@ -61,11 +61,11 @@ def skills_all(spark, d):
 
 
 def auto_categorise(spark, d):
-    return C.categorise(docs(spark, d), Vocabulary())
+    return C.categorise(docs(spark, d), Vocabulary.shipped())
 
 
 def stem_classify(spark, d):
-    return C.stem_classify(docs(spark, d), Vocabulary()).select("doc_id", "category", "name", F.round("score", 6).alias("score"), F.round("confidence", 6).alias("confidence"))
+    return C.stem_classify(docs(spark, d), Vocabulary.shipped()).select("doc_id", "category", "name", F.round("score", 6).alias("score"), F.round("confidence", 6).alias("confidence"))
 
 
 def fuzzy_tag_match(spark, d):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions import skills as K, text as T
 from corpusmill.functions.markdown import LANGUAGES
 from corpusmill.functions.register import register
+from corpusmill.functions.vocabulary import Vocabulary
 from corpusmill.operators import corpus_stats as S, pipeline as P
 from corpusmill.plans.blocks import _HEADS, _docs
 from corpusmill.plans.text import DOCS, docs, tok
@@ -25,7 +26,7 @@ def _strand_words(spark, d):
 
 
 def index_entries(spark, d):
-    return P.index_entries(_full(spark, d))
+    return P.index_entries(_full(spark, d), Vocabulary.shipped())
 
 
 def front_matter_split(spark, d):

@@ -105,3 +105,9 @@ def test_vocabulary_files(tmp_path):
     assert v.categories["subjects"]["data"] == ("tables", "tabl", "rows", "row") and v.stop_words == ("the",)
     assert Vocabulary.load(str(tmp_path / "none")).stats()["subjects"]["technology"] == 5
     assert [k for k, _, _ in tag_terms({"a": {"b c": ["D"]}})] == ["a", "b-c", "d"]
+
+
+def test_shipped_vocabulary():
+    v = Vocabulary.shipped()
+    assert {c: len(n) for c, n in v.categories.items()} == {"difficulty": 4, "skills": 5, "subjects": 8, "topics": 5} and len(v.stop_words) >= 415
+    assert sum(len(t) for n in v.categories.values() for t in n.values()) > 2300 and v.categories["difficulty"]["expert"][0] == "expert"

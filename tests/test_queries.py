@@ -50,3 +50,14 @@ def test_other_queries_run(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_classification_uses_the_whole_vocabulary(spark, tmp_path):
+    rows = [(1, "p", "t", "Kernel internals: cryptography and encryption against malware and phishing. A python seminar paper by a virtuoso.")]
+    spark.createDataFrame(rows, "doc_id bigint, path string, title string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "path string, summary string").write.parquet(f"{tmp_path}/strands.parquet")
+    for name in ("auto_categorise", "index_entries"):
+        r = entry.queries()[name](spark, str(tmp_path)).first()
+        assert "security" in r.subjects and r.difficulty == "expert" and "python" in r.skills
+    got = {(r.category, r.name) for r in entry.queries()["stem_classify"](spark, str(tmp_path)).collect()}
+    assert got >= {("subjects", "security"), ("difficulty", "expert"), ("skills", "programming-languages")}
