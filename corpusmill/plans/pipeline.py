@@ -70,10 +70,15 @@ def tagger_change(spark, d):
 
 
 def loom_placement(spark, d):
+    return P.placement(_strand_words(spark, d), T.tokens(F.col("summary")), P.PROFILE)
+
+
+def loom_placement_whole(spark, d):
+    """As loom_placement, by all words of the looms."""
     return P.placement(_strand_words(spark, d), T.tokens(F.col("summary")))
 
 
-QUERIES = {f.__name__: f for f in (index_entries, front_matter_split, front_matter_json, embedding_input, code_languages, sql_blocks, summary_cosine, tagger_change, loom_placement)}
+QUERIES = {f.__name__: f for f in (index_entries, front_matter_split, front_matter_json, embedding_input, code_languages, sql_blocks, summary_cosine, tagger_change, loom_placement, loom_placement_whole)}
 
 _S = "s as (select path, max(summary) as summary from strands where path is not null group by path), x as (select doc_id, d.path, title, text, summary from documents d left join s on s.path = d.path)"
 _FM = r"regexp_extract(text, '(?s)\A\x{FEFF}?---[ \t]*\r?\n(.*?)\r?\n---[ \t]*(?:\r?\n|\z)', 1)"

@@ -26,3 +26,14 @@ def test_placement(spark):
     got = {r.path: (r.loom, r.decision) for r in P.placement(s, T.tokens(F.col("t"))).collect()}
     assert got["a"] == ("cook", "place") and got["d"][0] == "cook" and "e" not in got
     assert P.placement(s.where("false"), T.tokens(F.col("t"))).count() == 0
+
+
+def test_placement_by_whole_profiles(spark):
+    # the rarest word of a loom of 60 words places a strand, and a strand like no loom is new
+    many = " ".join(f"word{i} word{i}" for i in range(60))
+    rows = [("a", "x", many), ("b", "x", "rareword"), ("c", "y", "other words"), ("d", None, "rareword"), ("e", None, "unlike anything"), ("f", "y", "")]
+    s = spark.createDataFrame(rows, "path string, loom string, t string")
+    got = {r.path: (r.loom, r.similarity, r.decision) for r in P.placement(s, T.tokens(F.col("t"))).collect()}
+    length = (60 * 4 + 1) ** 0.5
+    assert got["b"] == got["d"] == ("x", round(1 / length, 6), "new") and got["e"] == (None, 0.0, "new") and "f" not in got
+    assert got["a"][0] == "x" and got["a"][1] == round(240 / (240**0.5 * length), 6)
