@@ -106,13 +106,17 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25)
     return b
 
 
+#: Subjects at most: the weights of all are held in memory.
+SUBJECTS = 1000
+
+
 def hint_table(stats: DataFrame | None, subjects: list[str]) -> dict[str, list[float]]:
-    """Loom path to its stale subjects as 0/1 per subject; malformed lists are left out. One row per loom: small by nature."""
+    """Loom path to its stale subjects as 0/1 per subject; malformed lists are left out, of several the last in order counts. All looms are held in memory."""
     out: dict[str, list[float]] = {}
     if stats is None:
         return out
     low = [s.lower() for s in subjects]
-    for r in stats.where("scope_type = 'loom'").select("scope", "subjects").limit(100_000).toLocalIterator():
+    for r in stats.where("scope_type = 'loom'").select("scope", "subjects").orderBy("scope", "subjects").toLocalIterator():
         try:
             names = {str(x).strip().lower() for x in json.loads(r["subjects"] or "null") or []}
         except (ValueError, TypeError):
@@ -196,7 +200,9 @@ def train(rated: DataFrame, labels: DataFrame, subjects: DataFrame, stats: DataF
     words are divided by the shares of the last model and counted beside the labelled ones. 3. Per subject a logistic
     calibration of held-out labelled texts: for each fold the labelled counts of that fold are taken out first.
     """
-    names = [r[0] for r in subjects.select("subject").where("subject is not null").distinct().orderBy("subject").limit(1000).collect()]
+    names = [r[0] for r in subjects.select("subject").where("subject is not null").distinct().orderBy("subject").limit(SUBJECTS + 1).collect()]
+    if len(names) > SUBJECTS:
+        raise ValueError(f"more than {SUBJECTS} subjects")
     t = labelled(rated, labels, limit)
     if not len(t) or not names:
         return None

@@ -128,3 +128,12 @@ def test_subjects(spark):
 @pytest.mark.parametrize("text", ["", "`code` only", "https://x.example/a", "v1.2.3 (2024-01-01): ok", "é" * 50])
 def test_features_of_odd_texts(text):
     assert len(rl.features(rl.sentences(text), text, {}, 1.0)) == 52
+
+
+def test_subjects_and_hints_are_not_cut(spark):
+    from corpusmill.llm import subjects as su
+
+    stats = spark.range(100_200).selectExpr("'loom' AS scope_type", "cast(id AS string) AS scope", "'[\"a\"]' AS subjects")
+    assert len(su.hint_table(stats, ["a", "b"])) == 100_200
+    with pytest.raises(ValueError, match="subjects"):
+        su.train(None, None, spark.range(1001).selectExpr("cast(id AS string) AS subject"))
