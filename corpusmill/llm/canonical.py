@@ -96,11 +96,12 @@ def closest(values: DataFrame, refs: DataFrame) -> DataFrame:
     binary order.
     """
     seg = segments(refs)
-    sizes = F.array(*[F.lit(i) for i in range(1, 16)])
-    used = seg.select("size").distinct()  # a handful of sizes
-    sizes = F.array(*[F.lit(r["size"]) for r in sorted(used.collect())]) if bounded(used, 500) else sizes
+    used = seg.select("size").distinct()  # a handful of sizes, unless references of many lengths are long
     q = values.select(F.col("key").alias("value")).where("length(value) > 2").distinct()
-    q = q.select("value", F.explode(sizes).alias("size")).where("length(value) >= size")
+    if bounded(used, 500):
+        q = q.select("value", F.explode(F.array(*[F.lit(r["size"]) for r in sorted(used.collect())])).alias("size")).where("length(value) >= size")
+    else:
+        q = q.join(F.broadcast(used), F.length("value") >= F.col("size"))  # no more sizes than the longest reference has letters
     q = q.select("value", "size", F.explode(F.sequence(F.lit(0), F.length("value") - F.col("size"))).alias("at"))
     q = q.withColumn("part", F.substring(F.col("value"), F.col("at") + 1, F.col("size")))
     side = F.broadcast(seg) if bounded(refs, BROADCAST_REFS) else seg

@@ -76,3 +76,14 @@ def test_cooccurrence_against_loop(spark):
     got = {(r.tag_a, r.tag_b): r for r in cooccurrence(df).collect()}
     assert set(got) == want and want
     assert all(r.n == 210 and r.n_ab == ab[k] and r.llr > 3.841 for k, r in got.items())
+
+
+def test_canonical_meets_long_segments_of_many_sizes(spark, monkeypatch):
+    from corpusmill.llm import canonical
+
+    known = canonical.bounded
+    monkeypatch.setattr(canonical, "bounded", lambda df, rows: rows != 500 and known(df, rows))
+    long = "".join("abcdefghij"[i * i % 7 + i % 3] for i in range(300))
+    refs = spark.createDataFrame([(long, [])], "tag string, aliases array<string>")
+    values = spark.createDataFrame([(long[:150] + "z" + long[150:],)], "raw_tag string")
+    assert canonical.canonical_values(values, refs).first().tag == long
