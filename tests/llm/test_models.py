@@ -125,9 +125,49 @@ def test_subjects(spark):
     assert sj.subject_areas(s, lab.where("false"), sub, st).count() == 0 and sj.subject_areas(s.where("false"), lab, sub, st).count() == 0
 
 
-@pytest.mark.parametrize("text", ["", "`code` only", "https://x.example/a", "v1.2.3 (2024-01-01): ok", "é" * 50])
-def test_features_of_odd_texts(text):
-    assert len(rl.features(rl.sentences(text), text, {}, 1.0)) == 52
+ODD = ["", "`code` only", "https://x.example/a", "v1.2.3 (2024-01-01): ok", "é" * 50, "One. Two! three?\n\nFour, five; six.", "We met Bob Smith. They ran far away today", "a a a. a b. Naïve façade, déjà-vu ... end"]
+
+
+def test_features_do_not_depend_on_the_batch():
+    whole = rl.Texts(ODD * 3, rl.Words())
+    assert whole.base.shape == (3 * len(ODD), rl.BASE) and (whole.base[[0, 2]] == 0).all()
+    for i, text in enumerate(ODD):
+        alone = rl.Texts([text], rl.Words())
+        assert np.allclose(alone.base[0], whole.base[i]) and np.allclose(whole.base[i], whole.base[len(ODD) + i])
+        g = alone.graded(np.full(len(alone.low), 1.5), np.ones(len(alone.low), bool), np.full(len(alone.low), 0.5), 2.0)
+        assert g.shape == (1, rl.GRADED) and (not len(alone.low) or np.allclose(g[0], [1, 0, 1, 1, 1, 1.5, 1.5, 1.5, 1.5, 1]))
+
+
+def test_features_by_hand():
+    x = rl.Texts(["We met Bob Smith. They often wandered there, they often ran."], rl.Words()).base[0]
+    # Eleven words in sentences of four and seven; Bob and Smith are names.
+    plain = ["we", "met", "they", "often", "wandered", "there", "they", "often", "ran"]
+    assert x[:7].tolist() == [11, 2, 5.5, 1.5, 4, 7, 5.5]
+    assert np.isclose(x[7], np.mean([len(w) for w in plain])) and np.isclose(x[8], np.std([len(w) for w in plain]))
+    assert np.allclose(x[9:14], np.quantile([len(w) for w in plain], [0.25, 0.5, 0.75, 0.9, 1.0]))
+
+
+def test_scores_leave_folds_out():
+    t = rl.Texts(["red blue"] * 4 + ["green blue"] * 6, rl.Words())
+    s = rl.Scores(t, np.array([0.0] * 4 + [3.0] * 6), np.array([0, 0, 1, 2, 0, 1, 1, 2, 3, 4]))
+    mean, (words, pairs) = s.without()
+    assert mean == 1.8 and np.allclose(sorted(words), sorted([(4 * 1.8) / 8, (18 + 4 * 1.8) / 14, (18 + 4 * 1.8) / 10]) ) and len(pairs) == 4
+    _, (words, _) = s.without(1, 2)
+    assert np.isnan(words).sum() == 1  # two texts with `red` are left, too few
+
+
+def test_held_out_grades_know_nothing_of_their_fold():
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 12)) for _ in range(400)]
+    group = [f"g{i % 40}" for i in range(400)]
+    grade = rng.integers(0, 4, 400).astype(float)
+    own = rl.learn(texts, grade, np.ones(400), group, rl.fit_here).held_out
+    import zlib
+
+    fold = np.array([zlib.crc32(g.encode()) % rl.FOLDS for g in group])
+    changed = np.where(fold == 2, 3 - grade, grade)
+    assert np.allclose(rl.learn(texts, changed, np.ones(400), group, rl.fit_here).held_out[fold == 2], own[fold == 2])
+    assert abs(np.corrcoef(own, grade)[0, 1]) < 0.2
 
 
 def test_subjects_and_hints_are_not_cut(spark):
