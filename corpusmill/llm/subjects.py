@@ -8,51 +8,82 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from corpusmill.llm import _segments as S
 from corpusmill.session import materialise, wide
 
 #: Labelled texts that the model is fitted on at most: those of the least hashes.
 LABELLED = 20_000
 #: Buckets that words are hashed into; the model's size, whatever the corpus.
 BUCKETS = 1 << 16
-#: Rounds of expectation-maximisation over all texts.
-ROUNDS = 2
-FOLDS = 4
+#: Rounds of expectation-maximisation over all texts at most, and the relative change of the counts at which they end.
+ROUNDS, SETTLED = 5, 0.02
+#: One labelled text in so many is held out for the calibration.
+HELD_OUT = 4
 WORDS = 5
 #: What a word of the title weighs against one of the summary.
 TITLE = 0.5
 SMOOTH = 0.3
+PREDICTORS = 10
 
 _NOISE = re.compile(r"`[^`]*`|https?://\S+|www\.\S+")
 _TOKEN = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 
 
 class Hasher:
-    """Bucket of a word; remembers words within a task."""
+    """Buckets of words; remembers words within a task."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
 
-    def __call__(self, text: str | None) -> list[int]:
-        out, known = [], self.known
-        for m in _TOKEN.findall(_NOISE.sub(" ", text or "")):
-            b = known.get(m)
-            if b is None:
-                if len(known) > 300_000:
-                    known.clear()
-                b = known[m] = zlib.crc32(m.lower().encode()) % BUCKETS
-            out.append(b)
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(text, bucket) of every word of the texts."""
+        known, flat, size = self.known, [], []
+        if len(known) > 300_000:
+            known.clear()
+        for t in texts:
+            words = _TOKEN.findall(_NOISE.sub(" ", t)) if t else ()
+            size.append(len(words))
+            for w in words:
+                b = known.get(w)
+                if b is None:
+                    b = known[w] = zlib.crc32(w.lower().encode()) % BUCKETS
+                flat.append(b)
+        return np.repeat(np.arange(len(size)), size), np.array(flat, np.int64)
+
+
+class Bags:
+    """Word bags of texts: bag i holds ids[at[i]:at[i+1]] with weights n of the same places."""
+
+    def __init__(self, at: np.ndarray, ids: np.ndarray, n: np.ndarray):
+        self.at, self.ids, self.n = at, ids, n
+        self.full = np.flatnonzero(np.diff(at))  # bags that hold a word
+        self.first = at[:-1][self.full]
+        self.text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    def take(self, rows: np.ndarray) -> Bags:
+        keep = np.isin(self.text, rows)
+        size = np.diff(self.at)[rows]
+        return Bags(np.r_[0, np.cumsum(size)], self.ids[keep], self.n[keep])
+
+    def per_text(self, x: np.ndarray) -> np.ndarray:
+        """Sums of x, a row per word, by text."""
+        out = np.zeros((len(self), *x.shape[1:]), x.dtype)
+        if len(self.full):
+            out[self.full] = np.add.reduceat(x, self.first, axis=0)
         return out
 
-    def counts(self, title: str | None, summary: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(buckets, weights) of a text; a repeated word counts with diminishing weight."""
-        a, b = self(summary), self(title)
-        ids, at = np.unique(np.array(a + b, np.int64), return_inverse=True)
-        n = np.bincount(at, np.r_[np.ones(len(a)), np.full(len(b), TITLE)], len(ids))
-        return ids, np.log1p(n)
+
+def bags(text: np.ndarray, ids: np.ndarray, weight: np.ndarray, texts: int) -> Bags:
+    """Words of one text and bucket together; a repeated word counts with diminishing weight."""
+    key, at = np.unique(text * BUCKETS + ids, return_inverse=True)
+    n = np.log1p(np.bincount(at, weight, len(key)))
+    return Bags(np.searchsorted(key, np.arange(texts + 1) * BUCKETS), key % BUCKETS, n)
 
 
 class Weights:
@@ -64,33 +95,42 @@ class Weights:
         inside = np.log((counts + SMOOTH) / (total + SMOOTH * len(counts)))
         outside = np.log((counts.sum(1, keepdims=True) - counts + SMOOTH) / (rest + SMOOTH * len(counts)))
         self.odds = (inside - outside).astype(np.float32)
-        self.inside = np.exp(inside - inside.max(1, keepdims=True)).astype(np.float32)
-
-    def share(self, ids: np.ndarray, n: np.ndarray, steps: int = 8) -> np.ndarray:
-        """How the words of a text divide among the classes: mixing proportions by a few steps of expectation-maximisation."""
-        k = self.inside.shape[1]
-        pi = np.full(k, 1 / k)
-        p = self.inside[ids]
-        informative = n * (self.odds[ids].max(1) if len(ids) else n)  # words that speak for no class hardly count
-        informative = np.maximum(informative, 1e-3)
+        self.ratio = np.exp(self.odds - self.odds.max(1, keepdims=True))
+        # Words that speak for no class hardly count.
+        self.telling = np.maximum(self.odds.max(1), 1e-3)
+
+    def share(self, b: Bags, steps: int = 8) -> np.ndarray:
+        """How the words of each text divide among the classes: posteriors of the words under the complement odds and
+        the text's proportions of classes, which a few steps of expectation-maximisation find."""
+        k = self.odds.shape[1]
+        pi = np.full((len(b), k), 1 / k, np.float32)
+        p = self.ratio[b.ids]
+        w = (b.n * self.telling[b.ids]).astype(np.float32)
         for _ in range(steps):
-            r = p * pi
-            r /= r.sum(1, keepdims=True) + 1e-30
-            pi = (r * informative[:, None]).sum(0) + 0.02
-            pi /= pi.sum()
+            of = (p * pi[b.text]).sum(1) + 1e-30
+            pi = pi * b.per_text(p * (w / of)[:, None]) + 0.02
+            pi /= pi.sum(1, keepdims=True)
         return pi
 
-    def evidence(self, ids: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return (self.odds[ids] * n[:, None]).sum(0) / max(1.0, n.sum()) if len(ids) else np.zeros(self.odds.shape[1])
+    def evidence(self, b: Bags) -> np.ndarray:
+        return b.per_text(self.odds[b.ids] * b.n.astype(np.float32)[:, None]) / np.maximum(1.0, b.per_text(b.n))[:, None]
+
+    def posterior(self, b: Bags) -> np.ndarray:
+        """Of each word of the texts: how much of it goes to each class."""
+        r = self.ratio[b.ids] * self.share(b, 5)[b.text]
+        return r / (r.sum(1, keepdims=True) + 1e-30)
 
 
-def _inputs(w: Weights, ids: np.ndarray, n: np.ndarray, hint: np.ndarray, title: np.ndarray) -> np.ndarray:
-    """One row of predictors per class: share, its rank and log, evidence, the loom's stale hint, the title's share."""
-    pi, e = w.share(ids, n), w.evidence(ids, n)
-    order = np.sort(pi)[::-1]
-    rank = np.empty(len(pi))
-    rank[np.argsort(-pi, kind="stable")] = np.arange(len(pi))
-    return np.stack([np.ones(len(pi)), pi, np.log(pi + 1e-4), e, e - np.sort(e)[-1], pi / order[0], (rank == 0) * 1.0, (rank == 1) * 1.0, np.full(len(pi), order[1]), hint, title], 1)
+def predictors(w: Weights, b: Bags, title: Bags, hint: np.ndarray) -> np.ndarray:
+    """(texts, classes, PREDICTORS): share, its rank and log, evidence, the loom's stale hint, the title's share."""
+    pi, e = w.share(b).astype(float), w.evidence(b).astype(float)
+    k = pi.shape[1]
+    order = np.sort(pi, 1)[:, ::-1]
+    rank = np.argsort(np.argsort(-pi, 1, kind="stable"), 1, kind="stable")
+    wide = lambda x: np.repeat(x[:, None], k, 1)
+    named = w.share(title).astype(float)
+    named[np.diff(title.at) == 0] = 1 / k
+    return np.stack([pi, np.log(pi + 1e-4), e, e - wide(e.max(1)), pi / wide(order[:, 0]), (rank == 0) * 1.0, (rank == 1) * 1.0, wide(order[:, min(1, k - 1)]), hint, named], 2)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
@@ -106,8 +146,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 25)
     return b
 
 
-#: Subjects at most: the weights of all are held in memory.
-SUBJECTS = 1000
+#: Subjects at most: the weights of all are held in memory. More are refused.
+SUBJECTS = 200
 
 
 def hint_table(stats: DataFrame | None, subjects: list[str]) -> dict[str, list[float]]:
@@ -129,23 +169,25 @@ def hint_table(stats: DataFrame | None, subjects: list[str]) -> dict[str, list[f
 class Model:
     def __init__(self, subjects: list[str], weights: Weights, hints: dict[str, list[float]]):
         self.subjects, self.weights, self.hints = subjects, weights, hints
-        self.coefficients, self.second, self.bias = np.zeros((len(subjects), 11)), 0.5, 0.0
+        self.coefficients, self.level, self.second = np.zeros(PREDICTORS), np.zeros(len(subjects)), 0.5
 
-    def row(self, hasher: Hasher, title: str | None, summary: str | None, loom: str) -> np.ndarray:
-        ids, n = hasher.counts(title, summary)
-        t = np.unique(np.array(hasher(title), np.int64))
-        k = len(self.subjects)
-        title_share = self.weights.share(t, np.ones(len(t))) if len(t) else np.full(k, 1 / k)
-        return _inputs(self.weights, ids, n, np.array(self.hints.get(loom, [0.5] * k)), title_share)
+    def rows(self, b: Bags, title: Bags, looms: list[str]) -> np.ndarray:
+        none = [0.5] * len(self.subjects)
+        hint = np.array([self.hints.get(x, none) for x in looms]).reshape(-1, len(self.subjects))
+        return predictors(self.weights, b, title, hint)
 
     def posterior(self, x: np.ndarray) -> np.ndarray:
         """Calibrated probability of each subject by itself."""
-        return 1 / (1 + np.exp(-np.clip((x * self.coefficients).sum(-1), -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(x @ self.coefficients + self.level, -30, 30)))
 
-    def pick(self, p: np.ndarray) -> list[int]:
-        """The likeliest subject, and the next where its own posterior reaches the limit."""
-        o = np.argsort(-p, kind="stable")
-        return o[: 2 if len(o) > 1 and p[o[1]] >= self.second else 1].tolist()
+    def pick(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, subject): the likeliest subject, and the next where its own posterior reaches the limit."""
+        o = np.argsort(-p, 1, kind="stable")
+        text = np.arange(len(p))
+        if p.shape[1] < 2:
+            return text, o[:, 0]
+        two = p[text, o[:, 1]] >= self.second
+        return np.r_[text, text[two]], np.r_[o[:, 0], o[two, 1]]
 
 
 def _rated(strands: DataFrame) -> DataFrame:
@@ -156,91 +198,121 @@ def _rated(strands: DataFrame) -> DataFrame:
     return wide(s.groupBy("path").agg(F.min(F.struct("summary", "title", "loom")).alias("x")).select("path", "x.title", "x.summary", "x.loom"), "path")
 
 
-def labelled(rated: DataFrame, labels: DataFrame, limit: int = LABELLED) -> pd.DataFrame:
-    """path, title, summary, loom, votes (subject to judges), judges; at most `limit` strands, chosen by hash."""
+_BAGS = "path string, loom string, ids array<int>, n array<float>, title array<int>"
+
+
+def encoded(rated: DataFrame) -> DataFrame:
+    """path, loom, ids, n (bag of title and summary), title (distinct buckets of the title) of each text: texts are tokenised here and nowhere else."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        as_list = lambda b, x, kind: pa.ListArray.from_arrays(pa.array(b.at, pa.int32()), pa.array(x, kind))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                m = part.num_rows
+                (s, i), (t, j) = hasher(part.column(2).to_pylist()), hasher(part.column(1).to_pylist())
+                both, title = bags(np.r_[s, t], np.r_[i, j], np.r_[np.ones(len(i)), np.full(len(j), TITLE)], m), bags(t, j, np.ones(len(j)), m)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), as_list(both, both.ids, pa.int32()), as_list(both, both.n, pa.float32()), as_list(title, title.ids, pa.int32())], names=["path", "loom", "ids", "n", "title"])
+
+    return rated.select("path", "title", "summary", "loom").mapInArrow(run, _BAGS)
+
+
+def _bag_of(ids: pa.Array, n: pa.Array | None = None) -> Bags:
+    at = np.r_[0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))]
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    return Bags(at, flat, np.full(len(flat), np.log(2)) if n is None else n.flatten().to_numpy(zero_copy_only=False).astype(float))
+
+
+def labelled(texts: DataFrame, labels: DataFrame, limit: int = LABELLED) -> pa.Table:
+    """The encoded texts that are labelled, with votes (subject to judges) and judges; at most `limit`, chosen by hash."""
     l = labels.where("kind = 'subject' and path is not null").select("path", "judge", F.lower(F.trim("label")).alias("label")).distinct()
     judges = l.groupBy("path").agg(F.count_distinct("judge").alias("judges"))
     v = l.groupBy("path", "label").agg(F.count("*").alias("n")).groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("votes"))
-    return rated.join(v, "path").join(judges, "path").orderBy(F.xxhash64("path"), "path").limit(limit).toPandas()
+    return texts.join(v, "path").join(judges, "path").orderBy(F.xxhash64("path"), "path").limit(limit).toArrow()
 
 
-def _soft_counts(texts: DataFrame, weights: Weights, classes: int) -> np.ndarray:
-    """Word counts by class over all texts, each text divided by its shares: one array per task, summed by bucket."""
-    shared = texts.sparkSession.sparkContext.broadcast(weights)  # BUCKETS x classes
+def _soft_counts(texts: DataFrame, models: list[Weights]) -> list[np.ndarray]:
+    """For each model the word counts by class over all texts, each word divided by its posteriors: one array per task, summed by bucket."""
+    shared = texts.sparkSession.sparkContext.broadcast(models)  # BUCKETS x classes each
+    k = models[0].odds.shape[1]
+    width = len(models) * k
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, hasher, total = shared.value, Hasher(), np.zeros((BUCKETS, classes))
+        total = np.zeros((BUCKETS, width))
         for batch in batches:
-            for title, summary in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids, n = hasher.counts(title, summary)
-                if len(ids):
-                    total[ids] += n[:, None] * w.share(ids, n, 5)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                b = _bag_of(part.column(0), part.column(1))
+                order = np.argsort(b.ids, kind="stable")
+                first = S.starts(b.ids[order])
+                for i, w in enumerate(shared.value):
+                    if len(first):
+                        total[b.ids[order][first], i * k : (i + 1) * k] += np.add.reduceat((w.posterior(b) * b.n[:, None])[order], first, axis=0)
         used = np.flatnonzero(total.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(total[used, c]) for c in range(classes))], names=["bucket", *(f"c{c}" for c in range(classes))])
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(total[used, c]) for c in range(width))], names=["bucket", *(f"c{c}" for c in range(width))])
 
-    schema = ", ".join(["bucket int", *(f"c{c} double" for c in range(classes))])
-    sums = texts.select("title", "summary").mapInArrow(count, schema).groupBy("bucket").agg(*(F.sum(f"c{c}").alias(f"c{c}") for c in range(classes))).toPandas()
-    out = np.zeros((BUCKETS, classes))
-    out[sums["bucket"].to_numpy()] = sums[[f"c{c}" for c in range(classes)]].to_numpy()
-    return out
+    names = [f"c{c}" for c in range(width)]
+    sums = texts.select("ids", "n").mapInArrow(count, ", ".join(["bucket int", *(f"{c} double" for c in names)])).groupBy("bucket").agg(*(F.sum(c).alias(c) for c in names)).toPandas()
+    out = np.zeros((BUCKETS, width))
+    out[sums["bucket"].to_numpy()] = sums[names].to_numpy()
+    return [out[:, i * k : (i + 1) * k] for i in range(len(models))]
 
 
-def _labelled_counts(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray) -> np.ndarray:
-    total = np.zeros((BUCKETS, y.shape[1]))
+def _labelled_counts(b: Bags, y: np.ndarray) -> np.ndarray:
     share = y / np.maximum(y.sum(1, keepdims=True), 1e-9)
-    for (ids, n), s in zip(rows, share):
-        total[ids] += n[:, None] * s
-    return total
+    return np.stack([np.bincount(b.ids, b.n * share[b.text, c], BUCKETS) for c in range(y.shape[1])], 1)
 
 
-def train(rated: DataFrame, labels: DataFrame, subjects: DataFrame, stats: DataFrame | None = None, limit: int = LABELLED, rounds: int = ROUNDS, unlabelled_weight: float = 0.5) -> Model | None:
-    """The model of the strands that _rated() gives, None if there are no labels or subjects.
+def train(texts: DataFrame, labels: DataFrame, subjects: DataFrame, stats: DataFrame | None = None, limit: int = LABELLED, rounds: int = ROUNDS, unlabelled_weight: float = 0.1) -> Model | None:
+    """The model of the texts that encoded() gives, None if there are no labels or subjects.
 
-    1. Complement naive Bayes from the labelled sample. 2. `rounds` of expectation-maximisation: all strands'
-    words are divided by the shares of the last model and counted beside the labelled ones. 3. Per subject a logistic
-    calibration of held-out labelled texts: for each fold the labelled counts of that fold are taken out first.
+    1. Complement naive Bayes from the labelled sample, and once more without the held-out labels. 2. Expectation-
+    maximisation, `rounds` at most: all texts' words are divided by their posteriors under the last weights and counted
+    beside the labelled ones, for both models in one pass, until the counts settle. 3. Per subject a logistic
+    calibration on the held-out texts, by the weights that never saw their labels; it serves the whole model.
     """
     names = [r[0] for r in subjects.select("subject").where("subject is not null").distinct().orderBy("subject").limit(SUBJECTS + 1).collect()]
     if len(names) > SUBJECTS:
         raise ValueError(f"more than {SUBJECTS} subjects")
-    t = labelled(rated, labels, limit)
-    if not len(t) or not names:
+    if not names:
         return None
-    low = {s.lower(): i for i, s in enumerate(names)}
-    y = np.zeros((len(t), len(names)))
-    for i, (votes, judges) in enumerate(zip(t["votes"], t["judges"])):
+    t = labelled(texts, labels, limit).combine_chunks()
+    low, k = {s.lower(): i for i, s in enumerate(names)}, len(names)
+    y = np.zeros((len(t), k))
+    for i, (votes, judges) in enumerate(zip(t["votes"].to_pylist(), t["judges"].to_pylist())):
         for label, n in dict(votes).items():
             if label in low:
                 y[i, low[label]] = n / judges
     keep = y.sum(1) > 0
-    t, y = t[keep].reset_index(drop=True), y[keep]
+    t, y = t.filter(pa.array(keep)).combine_chunks(), y[keep]
     if not len(t):
         return None
-    hasher, k = Hasher(), len(names)
-    rows = [hasher.counts(a, b) for a, b in zip(t["title"], t["summary"])]
-    own = _labelled_counts(rows, y)
-    weights, soft = Weights(own), 0.0
+    column = lambda c: t[c].chunk(0) if t[c].num_chunks == 1 else pa.concat_arrays(t[c].chunks)
+    b, title, looms = _bag_of(column("ids"), column("n")), _bag_of(column("title")), t["loom"].to_pylist()
+    out = np.flatnonzero([zlib.crc32(p.encode()) % HELD_OUT == 0 for p in t["path"].to_pylist()])
+    out = out if 0 < len(out) < len(t) else np.arange(len(t))  # a handful of labels serves for both
+    every = _labelled_counts(b, y)
+    own = [every, every - _labelled_counts(b.take(out), y[out]) if len(out) < len(t) else every]
+    weights, before = [Weights(c) for c in own], None
     for _ in range(rounds):
-        soft = _soft_counts(rated, weights, k) * unlabelled_weight
-        weights = Weights(own + soft)
-    model = Model(names, weights, hint_table(stats, names))
-    fold = np.array([zlib.crc32(p.encode()) % FOLDS for p in t["path"]])
-    x = np.zeros((len(t), k, 11))
-    for f in range(FOLDS):
-        out = np.flatnonzero(fold == f)
-        if len(out):
-            part = Model(names, Weights(own - _labelled_counts([rows[i] for i in out], y[out]) + soft), model.hints)
-            for i in out:
-                x[i] = part.row(hasher, t["title"][i], t["summary"][i], t["loom"][i])
+        soft = [c * unlabelled_weight for c in _soft_counts(texts, weights)]
+        weights = [Weights(o + s) for o, s in zip(own, soft)]
+        if before is not None and np.abs(soft[0] - before).sum() <= SETTLED * soft[0].sum():
+            break
+        before = soft[0]
+    model = Model(names, weights[0], hint_table(stats, names))
+    y = y[out]
+    x = Model(names, weights[1], model.hints).rows(b.take(out), title.take(out), [looms[i] for i in out])
     # Subjects share what a predictor means; each has its own level.
-    flat = np.concatenate([x[..., 1:].reshape(-1, 10), np.tile(np.eye(k), (len(t), 1))], 1)
-    b = _logistic(flat, (y >= 0.5).reshape(-1) * 1.0)
-    model.coefficients = np.concatenate([b[10:, None], np.tile(b[:10], (k, 1))], 1)
+    flat = np.concatenate([x.reshape(-1, PREDICTORS), np.tile(np.eye(k), (len(y), 1))], 1)
+    c = _logistic(flat, (y >= 0.5).reshape(-1) * 1.0)
+    model.coefficients, model.level = c[:PREDICTORS], c[PREDICTORS:]
     p = model.posterior(x)
     order = np.sort(p, 1)
-    second = order[:, -2] if k > 1 else np.zeros(len(t))
-    which = np.argsort(p, 1)[:, -2] if k > 1 else np.zeros(len(t), int)
-    hit = y[np.arange(len(t)), which] >= 0.5
+    second = order[:, -2] if k > 1 else np.zeros(len(y))
+    which = np.argsort(p, 1)[:, -2] if k > 1 else np.zeros(len(y), int)
+    hit = y[np.arange(len(y)), which] >= 0.5
     o = np.argsort(-second, kind="stable")
     gain = np.cumsum(np.where(hit[o], 1, -1))  # right second subjects less wrong ones
     best = int(gain.argmax()) if len(gain) else 0
@@ -256,20 +328,21 @@ def subject_areas(strands: DataFrame, labels: DataFrame, subjects: DataFrame, st
     the limit found on held-out labels. A null title counts as empty; null paths and null or shorter summaries give no
     row; a path given twice gives one text. Without labels or subjects there are no rows.
     """
-    s = materialise(_rated(strands), "rated")  # read once for the labels, once per round and once for the result
+    s = materialise(encoded(_rated(strands)), "bags")  # read for the labels, once per round and for the result
     model = train(s, labels, subjects, stats, limit)
     if model is None:
         return s.where("false").select("path", F.lit("").alias("subject"), F.lit(0.0).alias("posterior"))
     model.held_out = None
     shared = strands.sparkSession.sparkContext.broadcast(model)
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, hasher = shared.value, Hasher()
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        names = np.array(m.subjects, object)
         for b in batches:
-            for at in range(0, len(b), 2000):
-                part = b.iloc[at : at + 2000]
-                x = np.array([m.row(hasher, *r) for r in zip(part["title"], part["summary"], part["loom"])])
-                out = [(path, m.subjects[c], float(p[c])) for path, p in zip(part["path"], m.posterior(x)) for c in m.pick(p)]
-                yield pd.DataFrame(out, columns=["path", "subject", "posterior"])
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                p = m.posterior(m.rows(_bag_of(part.column(2), part.column(3)), _bag_of(part.column(4)), part.column(1).to_pylist()))
+                text, c = m.pick(p)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(text)), pa.array(names[c], pa.string()), pa.array(p[text, c])], names=["path", "subject", "posterior"])
 
-    return s.mapInPandas(assign, "path string, subject string, posterior double")
+    return s.mapInArrow(assign, "path string, subject string, posterior double")
