@@ -59,11 +59,19 @@ def p5_llr(spark, d):
 
 
 def p6_found(spark, d):
-    return distinctiveness.top_keyword(distinctiveness.term_scores(table(spark, d, "keywords")))
+    """Information of a file's holding a keyword, all files weighing the same (f ln(N/n) in all), by the PPMI operator."""
+    return distinctiveness.top_keyword(distinctiveness.term_scores(table(spark, d, "keywords"), alpha=0, presence=True))
 
 
 def p6_ppmi(spark, d):
-    return distinctiveness.term_scores(table(spark, d, "keywords")).select("file_path", "keyword", "f", "n", F.round("weight", 5).alias("weight"), F.round("ppmi", 5).alias("ppmi"))
+    """Information of a keyword's occurrences with contexts smoothed by 0.75."""
+    return distinctiveness.term_scores(table(spark, d, "keywords")).select("file_path", "keyword", "f", "n", F.round("ppmi", 5).alias("ppmi"), F.round("weight", 5).alias("weight"))
+
+
+def p6_top_ppmi(spark, d):
+    """The keyword of greatest smoothed PPMI of each file; values are compared to eight places, then in binary order."""
+    x = distinctiveness.term_scores(table(spark, d, "keywords")).withColumn("ppmi", F.round("ppmi", 8))
+    return distinctiveness.top_keyword(x, "ppmi")
 
 
 def p8_ids(spark, d):
@@ -92,7 +100,7 @@ def p10_passages(spark, d):
     return shared_spans.passages(table(spark, d, "documents")).select("a", "b", "a_start", "a_end", "b_start", "b_end", "longest", F.round("score", 3).alias("score"), F.round("identity", 4).alias("identity"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_profile, p3_found, p3_counts, p4_found, p4_composition, p5_found, p5_llr, p6_found, p6_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_profile, p3_found, p3_counts, p4_found, p4_composition, p5_found, p5_llr, p6_found, p6_ppmi, p6_top_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
 
 _PLAIN = r"nullif(regexp_replace(regexp_replace(lower(nfc_normalize({0})), '[\s_\-]+', '-', 'g'), '^-+|-+$', '', 'g'), '')"
 _KEYWORD = _PLAIN.format("keyword")
@@ -104,6 +112,8 @@ p as (select file_path, {_KEYWORD} as term, coalesce(frequency, 1)::bigint as f
 ft as (select file_path, term, sum(f)::bigint as f from p where term is not null group by all),
 nn as (select count(distinct file_path)::bigint as big_n from keywords),
 tt as (select term, sum(f)::bigint as f_term, count(*)::bigint as n from ft group by term)"""
+_PPMI = f"""with {_TERMS}, dd as (select file_path, sum(f)::bigint as f_doc from ft group by 1), s as (select sum(f_doc)::double as total, sum(f_doc ** 0.75) as smooth from dd),
+z as (select file_path, term as keyword, ft.f as f, n, greatest(0, ln(ft.f / total) - ln(f_term / total) - ln(f_doc ** 0.75 / smooth)) as ppmi from ft join tt using (term) join dd using (file_path), s)"""
 _COUNTS = f"with {_TERMS}, c as (select term as keyword, f_term as occurrences, n as files, case when n < 3 then 'rare' when n > big_n / 20.0 then 'common' end as mark from tt, nn)"
 _PAIRS = f"""
 with x as (select path, unnest(tags) as t from strands where path is not null),
@@ -161,7 +171,6 @@ from documents left join c using (doc_id)""",
     "p5_llr": f"""{_PAIRS} select tag_a, tag_b, n_ab, n_a, n_b, round(lift, 6) as lift, round(greatest(0, 2 * ({_X("n_ab")} + {_X("n_a - n_ab")} + {_X("n_b - n_ab")} + {_X("n - n_a - n_b + n_ab")}
   + {_X("n")} - {_X("n_a")} - {_X("n - n_a")} - {_X("n_b")} - {_X("n - n_b")})), 4) as llr from z""",
     "p6_found": f"with {_TERMS} select file_path, term as keyword from ft join tt using (term), nn qualify row_number() over (partition by file_path order by ft.f * ln(big_n / n::double) desc, term) = 1",
-    "p6_ppmi": f"""with {_TERMS}, dd as (select file_path, sum(f)::bigint as f_doc from ft group by 1), s as (select sum(f_doc)::double as total, sum(f_doc ** 0.75) as smooth from dd)
-select file_path, term as keyword, ft.f as f, n, round(ft.f * ln(big_n / n::double), 5) as weight, round(greatest(0, ln(ft.f / total) - ln(f_term / total) - ln(f_doc ** 0.75 / smooth)), 5) as ppmi
-from ft join tt using (term) join dd using (file_path), nn, s""",
+    "p6_ppmi": f"""{_PPMI} select file_path, keyword, f, n, round(ppmi, 5) as ppmi, round(f * ppmi, 5) as weight from z""",
+    "p6_top_ppmi": f"{_PPMI} select file_path, keyword from z qualify row_number() over (partition by file_path order by round(ppmi, 8) desc, keyword) = 1",
 }

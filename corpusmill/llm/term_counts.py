@@ -2,40 +2,70 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusmill.llm._terms import file_count, file_terms
-from corpusmill.session import materialise
+from corpusmill.llm._terms import file_count, keyword_rows
+from corpusmill.operators import skew
+from corpusmill.session import bounded, materialise
 
-#: Slots of a count array. A block's arrays and its rows (slots x SALTS at most) are all that one task holds of a group.
+#: Identifiers of a range; a count array has so many places.
 BLOCK = 4096
-SALTS = 8
+#: Terms up to which the dictionary is broadcast to the rows; beyond it they meet by shuffle, hot terms apart.
+BROADCAST_TERMS = 200_000
+#: Ranges whose arrays a task holds at once; beyond it they are sent on and begun anew.
+HELD = 2_000
 
 
 def dictionary(terms: DataFrame, blocks: int) -> DataFrame:
-    """term, id, block, slot of each distinct term. Ids are dense and the same in every run over the same terms.
+    """term, id of each distinct term. Ids are dense and the same in every run over the same terms.
 
-    A term's block comes from its hash, its slot from its order there; ids number the slots block after block. No
-    task sees more than one block, and no global sort is needed.
+    A term's bucket comes from its hash, its place from its order there; ids number the places bucket after bucket. No
+    task sees more than one bucket, and no global sort is needed.
     """
-    w = Window.partitionBy("block").orderBy("term")
-    t = terms.select("term").distinct().withColumn("block", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
-    t = t.withColumn("slot", F.row_number().over(w) - 1)
-    size = t.groupBy("block").count()  # as many rows as blocks: small
-    start = size.select("block", (F.sum("count").over(Window.orderBy("block")) - F.col("count")).alias("start"))
-    return t.join(start, "block").select("term", (F.col("start") + F.col("slot")).cast("bigint").alias("id"), "block", "slot")
+    w = Window.partitionBy("bucket").orderBy("term")
+    t = terms.select("term").distinct().withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(blocks)).cast("int"))
+    t = t.withColumn("place", F.row_number().over(w) - 1)
+    size = t.groupBy("bucket").count()  # as many rows as buckets: small
+    start = size.select("bucket", (F.sum("count").over(Window.orderBy("bucket")) - F.col("count")).alias("start"))
+    return t.join(start, "bucket").select("term", (F.col("start") + F.col("place")).cast("bigint").alias("id"))
+
+
+_ARRAYS = "range bigint, places array<int>, occurrences array<bigint>, files array<bigint>"
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of (id, f) rows, or of arrays made before, added into one pair of arrays per identifier range."""
+    held: dict[int, np.ndarray] = {}
 
+    def out() -> pa.RecordBatch:
+        used = {r: np.flatnonzero(a[1]) for r, a in held.items()}
+        lists = [pa.array([used[r] for r in held], pa.list_(pa.int32())), *(pa.array([held[r][k][used[r]] for r in held], pa.list_(pa.int64())) for k in (0, 1))]
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), *lists], names=["range", "places", "occurrences", "files"])
 
-def _sum_block(rows: pd.DataFrame) -> pd.DataFrame:
-    n = int(rows["slot"].max()) + 1
-    occurrences, files, terms, ids = np.zeros(n, np.int64), np.zeros(n, np.int64), np.empty(n, object), np.zeros(n, np.int64)
-    slot = rows["slot"].to_numpy()
-    np.add.at(occurrences, slot, rows["f"].to_numpy())
-    np.add.at(files, slot, rows["files"].to_numpy())
-    terms[slot], ids[slot] = rows["term"].to_numpy(), rows["id"].to_numpy()
-    return pd.DataFrame({"id": ids, "keyword": terms, "occurrences": occurrences, "files": files})
+    for b in batches:
+        if b.num_columns == 2:
+            ids, f, files = b.column(0).to_numpy(), b.column(1).to_numpy(), np.ones(b.num_rows, np.int64)
+        else:
+            places = b.column(1)
+            ids = np.repeat(b.column(0).to_numpy(), places.value_lengths().to_numpy()) * BLOCK + places.flatten().to_numpy()
+            f, files = b.column(2).flatten().to_numpy(), b.column(3).flatten().to_numpy()
+        order = np.argsort(ids // BLOCK, kind="stable")
+        ids, f, files = ids[order], f[order], files[order]
+        which, first = np.unique(ids // BLOCK, return_index=True)
+        for r, a, e in zip(which.tolist(), first, np.r_[first[1:], len(ids)]):
+            if r not in held:
+                if len(held) >= HELD:
+                    yield out()
+                    held.clear()
+                held[r] = np.zeros((2, BLOCK), np.int64)
+            np.add.at(held[r][0], ids[a:e] % BLOCK, f[a:e])
+            np.add.at(held[r][1], ids[a:e] % BLOCK, files[a:e])
+    if held:
+        yield out()
 
 
 def term_counts(keywords: DataFrame, rare_below: int = 3, common_above: float = 1 / 20) -> DataFrame:
@@ -46,15 +76,24 @@ def term_counts(keywords: DataFrame, rare_below: int = 3, common_above: float =
     without file_path are left out; a null frequency counts as 1; exact duplicate rows count once. An empty table
     gives no rows.
 
-    Counts are combined per (term, salt) before anything is keyed by term, so a term that a third of all files hold
-    is SALTS rows by then. The encoded counts are added into arrays of one identifier range (block) each.
+    Terms are numbered first and rows encoded; from there on a term is its identifier. The rows of one term in one
+    file become one, each task adds its rows into a pair of arrays (occurrences, files that hold the term) per range of
+    BLOCK identifiers, and the arrays of one range are added up. A term that a third of all rows hold is one place of
+    one array per task by then.
     """
     n = file_count(keywords)
-    partial = file_terms(keywords).groupBy("term", F.pmod(F.xxhash64("file_path"), F.lit(SALTS)).alias("salt")).agg(F.sum("f").alias("f"), F.count("*").alias("files"))
-    partial = materialise(partial, "term-partials")
-    distinct = partial.agg(F.approx_count_distinct("term")).first()[0]
-    ids = dictionary(partial, max(1, -(-distinct // (BLOCK // 2))))
-    encoded = partial.join(ids, "term").select("block", "slot", "id", "term", "f", "files")
-    counts = encoded.groupBy("block").applyInPandas(_sum_block, "id bigint, keyword string, occurrences bigint, files bigint")
+    rows = materialise(keyword_rows(keywords), "keyword-rows")
+    many = rows.groupBy("term").agg(F.count("*").alias("many"))
+    distinct = many.agg(F.approx_count_distinct("term")).first()[0]
+    ids = materialise(dictionary(many, max(1, -(-distinct // (BLOCK // 2)))), "dictionary")
+    if bounded(ids, BROADCAST_TERMS):
+        encoded = rows.join(F.broadcast(ids), "term")
+    else:
+        encoded = skew.lookup(rows, ids.join(many, "term"), "term", "many", rows.count(), F.col("file_path"))
+    one = encoded.groupBy("file_path", "id").agg(F.sum("f").alias("f")).select("id", "f")
+    arrays = one.mapInArrow(_add, _ARRAYS)
+    total = arrays.repartition("range").mapInArrow(_add, _ARRAYS)
+    x = F.explode(F.arrays_zip("places", "occurrences", "files")).alias("x")
+    counts = total.select("range", x).groupBy((F.col("range") * BLOCK + F.col("x.places")).alias("id")).agg(F.sum("x.occurrences").alias("occurrences"), F.sum("x.files").alias("files"))
     mark = F.when(F.col("files") < rare_below, "rare").when(F.col("files") > F.lit(common_above * n), "common")
-    return counts.withColumn("mark", mark)
+    return counts.join(ids, "id").select("id", F.col("term").alias("keyword"), "occurrences", "files", mark.alias("mark"))

@@ -31,6 +31,23 @@ def test_counts_mark_common(spark):
     assert got == {"everywhere": "common", "some": None, "more": "common", "few": "rare"}
 
 
+def test_counts_by_range_of_identifiers(spark, monkeypatch):
+    """Several ranges, arrays sent on early, and the dictionary by shuffle as well as by broadcast."""
+    from corpusmill.llm import term_counts as tc
+
+    rows = [(f"f{i % 70}", f"w{i % 190}" if i % 3 else "hot", 0.1, i % 4 or None) for i in range(1500)]
+    f = defaultdict(Counter)
+    for p, k, _, n in set(rows):
+        f[k][p] += n or 1
+    want = {k: (sum(c.values()), len(c)) for k, c in f.items()}
+    monkeypatch.setattr(tc, "BLOCK", 16)
+    monkeypatch.setattr(tc, "HELD", 2)
+    for most in (10, 10_000):
+        monkeypatch.setattr(tc, "BROADCAST_TERMS", most)
+        got = term_counts(keywords(spark, rows)).collect()
+        assert {r.keyword: (r.occurrences, r.files) for r in got} == want and sorted(r.id for r in got) == list(range(len(want)))
+
+
 def test_dictionary_is_dense(spark):
     terms = spark.createDataFrame([(f"t{i}",) for i in range(500)], "term string")
     ids = sorted(r.id for r in dictionary(terms, 7).collect())
@@ -51,8 +68,8 @@ def test_top_keyword_against_loop(spark):
         f[p][k] += n or 1
     files = Counter(k for c in f.values() for k in c)
     want = {p: min(c, key=lambda k: (-round(c[k] * math.log(len(f) / files[k]), 9), k)) for p, c in f.items()}
+    assert {r.file_path: r.keyword for r in top_keyword(term_scores(keywords(spark, rows), alpha=0, presence=True)).collect()} == want
     scores = term_scores(keywords(spark, rows))
-    assert {r.file_path: r.keyword for r in top_keyword(scores).collect()} == want
     ppmi = {(r.file_path, r.keyword): r.ppmi for r in scores.collect()}
     total = sum(sum(c.values()) for c in f.values())
     smooth = sum(sum(c.values()) ** 0.75 for c in f.values())
@@ -63,7 +80,7 @@ def test_top_keyword_against_loop(spark):
 
 
 def test_ties_take_the_first_keyword(spark):
-    got = top_keyword(term_scores(keywords(spark, [("a", "z", 0.1, 1), ("a", "b", 0.1, 1), ("c", "x", 0.1, 1)]))).collect()
+    got = top_keyword(term_scores(alpha=0, presence=True, keywords=keywords(spark, [("a", "z", 0.1, 1), ("a", "b", 0.1, 1), ("c", "x", 0.1, 1)]))).collect()
     assert {r.file_path: r.keyword for r in got} == {"a": "b", "c": "x"}
 
 
