@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusmill.session import bounded, materialise
+from corpusmill.session import bounded, materialise, wide
 
-#: Reference strings up to which their segment table is broadcast (some 100 rows each).
-BROADCAST_REFS = 2_000
+#: Reference strings up to which their segment table is broadcast (five rows each at most).
+BROADCAST_REFS = 20_000
 #: Typing slips allowed for a reference string of at least so many letters: (letters, slips), longest first.
 SLIPS = ((9, 2), (5, 1))
 #: Words that add nothing to a tag, at its start and at its end.
@@ -71,44 +71,63 @@ def _bag(a: Column, b: Column) -> Column:
     return F.greatest(over(a, b), over(b, a))
 
 
+#: Begins a key that is made of sorted words; such keys allow no slips.
+_WORDS = "\u0001"
+
+
+def _cut(length: Column, slips: Column, i: Column) -> tuple[Column, Column]:
+    """Start and size of segment i of a reference of some length: 2 * slips + 1 segments as even as can be."""
+    n = 2 * slips + 1
+    start = (i * length / n).cast("int")
+    return start, ((i + 1) * length / n).cast("int") - start
+
+
 def segments(refs: DataFrame) -> DataFrame:
-    """key, tag, alias, slips, at, size, part: each reference cut into 2*slips + 1 segments, at each place a match can have it.
+    """key, tag, alias, slips, n, i, part from key, tag, alias, slips: each reference of n letters cut into 2 * slips + 1 segments, one row each.
+
+    d changes (a letter dropped, added or changed) spoil d segments at most, so where d <= 2 * slips one survives. A
+    reference that allows no slip is one segment, itself.
+    """
+    r = refs.withColumn("n", F.length("key"))
+    r = r.select("*", F.explode(F.sequence(F.lit(0), 2 * F.col("slips"))).alias("i"))
+    start, size = _cut(F.col("n"), F.col("slips"), F.col("i"))
+    return r.select("key", "tag", "alias", "slips", "n", "i", F.substring(F.col("key"), start + 1, size).alias("part"))
+
+
+def probes(values: DataFrame) -> DataFrame:
+    """value, n, i, part: the substrings of each value that can be segment i of a reference of n letters.
 
-    A slip (a letter dropped, added, changed, or two neighbours swapped) spoils at most two segments, so one of
-    2*slips + 1 survives, moved by no more than the letters added or dropped.
+    A reference is `slips` letters longer or shorter at most. With D the letters the value has more and m those that a
+    surviving segment is moved by, |m| and |D - m| letters are added or dropped before and after it, and |D| letters
+    are not in common, so only moves with |m| + |D - m| + |D| <= 2 * slips are tried: 95 substrings at most, however
+    many references there are and however long they are.
     """
-    r = refs.withColumn("slips", _slips(F.length("key"))).where("slips > 0")
-    n = 2 * F.col("slips") + 1
-    r = r.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("i"))
-    start = (F.col("i") * F.length("key") / n).cast("int")
-    end = ((F.col("i") + 1) * F.length("key") / n).cast("int")
-    r = r.withColumn("start", start).withColumn("size", end - start)
-    r = r.withColumn("part", F.substring(F.col("key"), F.col("start") + 1, F.col("size")))
-    return r.select("key", "tag", "alias", "slips", "size", "part", F.explode(F.sequence(F.col("start") - F.col("slips"), F.col("start") + F.col("slips"))).alias("at")).where("at >= 0")
+    most = max(s for _, s in SLIPS)
+    v = values.select("value", F.explode(F.sequence(F.length("value") - most, F.length("value") + most)).alias("n")).where("n > 0")
+    v = v.withColumn("slips", F.when(F.startswith("value", F.lit(_WORDS)), 0).otherwise(_slips(F.col("n")))).withColumn("more", F.length("value") - F.col("n")).where(F.abs("more") <= F.col("slips"))
+    move = F.filter(F.sequence(-2 * F.col("slips"), 2 * F.col("slips")), lambda m: F.abs(m) + F.abs(F.col("more") - m) + F.abs("more") <= 2 * F.col("slips"))
+    v = v.select("value", "n", "slips", F.explode(move).alias("move"), F.sequence(F.lit(0), 2 * F.col("slips")).alias("i")).select("value", "n", "slips", "move", F.explode("i").alias("i"))
+    start, size = _cut(F.col("n"), F.col("slips"), F.col("i"))
+    v = v.withColumn("start", start + F.col("move")).withColumn("size", size).where("start >= 0 and start + size <= length(value)")
+    return v.select("value", "n", "i", F.substring(F.col("value"), F.col("start") + 1, F.col("size")).alias("part"))
 
 
 def closest(values: DataFrame, refs: DataFrame) -> DataFrame:
-    """key, score, d, alias, tag of each distinct string `key` of values that is within the allowed slips of a reference.
+    """key, score, d, alias, tag of each distinct string `key` of values that is within the allowed slips of a reference, or equal to it.
 
-    Partition-based join: equality on (place, size, segment), then the built-in levenshtein and the letters in
-    common. With d the distance and b the letters not in common, d + b <= 2 * slips holds for that many dropped,
-    added, changed (1 + 1) or swapped (2 + 0) letters. The closest reference wins, an entry before an alias, then
-    binary order.
+    refs: key, tag, alias, and slips where they are not those of its length. Partition-based pigeonhole join: the
+    references' segments and the values' substrings meet by equality on (length, place, segment); pairs are verified
+    by the built-in levenshtein and the letters in common. With d the distance and b the letters not in common,
+    d + b <= 2 * slips holds for that many dropped, added, changed (1 + 1) or swapped (2 + 0) letters. The closest
+    reference wins, an entry before an alias, then binary order.
     """
-    seg = segments(refs)
-    used = seg.select("size").distinct()  # a handful of sizes, unless references of many lengths are long
-    q = values.select(F.col("key").alias("value")).where("length(value) > 2").distinct()
-    if bounded(used, 500):
-        q = q.select("value", F.explode(F.array(*[F.lit(r["size"]) for r in sorted(used.collect())])).alias("size")).where("length(value) >= size")
-    else:
-        q = q.join(F.broadcast(used), F.length("value") >= F.col("size"))  # no more sizes than the longest reference has letters
-    q = q.select("value", "size", F.explode(F.sequence(F.lit(0), F.length("value") - F.col("size"))).alias("at"))
-    q = q.withColumn("part", F.substring(F.col("value"), F.col("at") + 1, F.col("size")))
+    seg = segments(refs if "slips" in refs.columns else refs.withColumn("slips", _slips(F.length("key"))))
+    q = probes(wide(values.select(F.col("key").alias("value")).where("value <> ''").distinct(), "value"))
     side = F.broadcast(seg) if bounded(refs, BROADCAST_REFS) else seg
-    j = q.join(side, ["at", "size", "part"]).where(F.abs(F.length("value") - F.length("key")) <= F.col("slips"))
-    j = j.select("value", "key", "tag", "alias", "slips").distinct()
-    j = j.withColumn("d", F.levenshtein("value", "key", 4)).where((F.col("d") >= 0) & (F.col("d") <= 2 * F.col("slips")))
-    j = j.withColumn("score", F.col("d") + _bag(F.col("value"), F.col("key"))).where(F.col("score") <= 2 * F.col("slips"))
+    j = q.join(side, ["n", "i", "part"]).select("value", "key", "tag", "alias", "slips").distinct()
+    same = F.col("value") == F.col("key")
+    j = j.withColumn("d", F.when(same, 0).otherwise(F.levenshtein("value", "key", 2 * max(s for _, s in SLIPS)))).where((F.col("d") >= 0) & (F.col("d") <= 2 * F.col("slips")))
+    j = j.withColumn("score", F.when(same, 0).otherwise(F.col("d") + _bag(F.col("value"), F.col("key")))).where(F.col("score") <= 2 * F.col("slips"))
     best = j.groupBy("value").agg(F.min(F.struct("score", "d", "alias", "tag")).alias("x"))
     return best.select(F.col("value").alias("key"), "x.score", "x.d", "x.alias", "x.tag")
 
@@ -116,9 +135,10 @@ def closest(values: DataFrame, refs: DataFrame) -> DataFrame:
 def canonical_values(values: DataFrame, canonical: DataFrame) -> DataFrame:
     """raw_tag, tag of each distinct non-blank value of the column raw_tag; tag is `none` where no entry is meant.
 
-    Tried in turn: the letters in order equal those of an entry or alias, as they are, then without a `scheme:` or
-    `path/` before them, then without filler words around; the same words in another order; the letters within the
-    allowed slips (see closest). What is left is reported through an anti-join as `none`. Null and blank values are
+    A value has up to five forms: as it is, without a `scheme:` or `path/` before it, and of that without filler
+    words around. Every form goes through the pigeonhole join twice: by its letters in order, with the slips that the
+    reference's length allows, and by its sorted words, without slips. Equal letters win, earlier forms first, then equal
+    words, then the fewest slips. What is left is reported through an anti-join as `none`. Null and blank values are
     left out; an empty reference list gives `none` throughout.
     """
     v = values.select("raw_tag").where("raw_tag is not null").distinct().withColumn("f", folded(F.col("raw_tag")))
@@ -126,20 +146,17 @@ def canonical_values(values: DataFrame, canonical: DataFrame) -> DataFrame:
     tail = F.regexp_replace("f", r"^.*[:/](?=.*[a-z0-9])", "")
     forms = F.array_distinct(F.concat(F.array(_tokens(F.col("f"))), _bare(_tokens(tail))))
     v = v.select("raw_tag", F.posexplode_outer(forms).alias("form", "w"))
-    v = v.select("raw_tag", "form", F.array_join("w", "").alias("key"), _sorted_key(F.col("w")).alias("skey"))
-    refs = references(canonical)
-    by_key = refs.groupBy("key").agg(F.min(F.struct("alias", "tag")).alias("x")).select("key", F.col("x.tag").alias("same"))
-    by_words = refs.groupBy("skey").agg(F.min(F.struct("alias", "tag")).alias("x")).select("skey", F.col("x.tag").alias("words"))
-    side = F.broadcast if bounded(refs, BROADCAST_REFS) else (lambda df: df)
-    e = v.join(side(by_key), "key", "left").join(side(by_words), "skey", "left")
-    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("form")))
-    e = e.groupBy("raw_tag").agg(F.coalesce(first("same"), first("words")).alias("tag"), F.collect_set("key").alias("keys"))  # five forms at most
-    e = materialise(e, "forms")
-    open_ = e.where("tag is null").select("raw_tag", F.explode("keys").alias("key"))
-    near = closest(open_, refs)
-    fuzzy = open_.join(near, "key").groupBy("raw_tag").agg(F.min(F.struct("score", "d", "alias", "tag")).alias("x")).select("raw_tag", "x.tag")
-    found = e.where("tag is not null").select("raw_tag", "tag").unionByName(fuzzy)
-    missing = e.select("raw_tag").join(found, "raw_tag", "left_anti").withColumn("tag", F.lit("none"))
+    v = v.select("raw_tag", "form", F.explode(F.array(F.array_join("w", ""), F.concat(F.lit(_WORDS), _sorted_key(F.col("w"))))).alias("key"))
+    v = materialise(v, "forms")
+    r = references(canonical)
+    least = lambda df, c: df.groupBy(c).agg(F.min(F.struct("alias", "tag")).alias("x")).select(F.col(c).alias("key"), "x.tag", "x.alias")
+    letters = r.select("key", "tag", "alias").distinct().withColumn("slips", _slips(F.length("key")))
+    words = least(r, "skey").select(F.concat(F.lit(_WORDS), "key").alias("key"), "tag", "alias", F.lit(0).alias("slips"))
+    near = closest(v, letters.unionByName(words))
+    kind = F.when(F.startswith("key", F.lit(_WORDS)), 1).when(F.col("score") == 0, 0).otherwise(2)
+    x = v.join(near, "key").withColumn("kind", kind)
+    found = x.groupBy("raw_tag").agg(F.min(F.struct("kind", F.when(F.col("kind") == 2, F.col("score")).otherwise(F.col("form")).alias("s"), "d", "alias", "tag")).alias("x")).select("raw_tag", "x.tag")
+    missing = v.select("raw_tag").distinct().join(found, "raw_tag", "left_anti").withColumn("tag", F.lit("none"))
     return found.unionByName(missing)
 
 

@@ -64,6 +64,22 @@ def test_canonical_against_all_pairs(spark):
     assert got == want and len(want) > 150
 
 
+def test_long_references_and_many_lengths(spark):
+    """Far more segment lengths than a fixed list could name: every reference is met by a value with slips."""
+    rng = random.Random(9)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(n)) for n in range(60, 3000, 37)]
+    values = [n[:20] + "z" + n[21:50] + n[51:] for n in names]
+    refs = canonical.references(spark.createDataFrame([(n, None) for n in names], "tag string, aliases array<string>"))
+    got = {r.key: (r.tag, r.d) for r in canonical.closest(spark.createDataFrame([(v,) for v in values], "key string"), refs).collect()}
+    assert got == {v: (n, 2) for v, n in zip(values, names)}
+
+
+def test_references_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(canonical, "BROADCAST_REFS", 1)
+    v = spark.createDataFrame([(c,) for c in CASES], "raw_tag string")
+    assert {r.raw_tag: r.tag for r in canonical.canonical_values(v, canon(spark)).collect()} == CASES
+
+
 def test_trees_learn_a_step():
     rng = np.random.default_rng(1)
     x = rng.random((800, 3))
