@@ -62,15 +62,32 @@ def test_versioned_target_survives_failures(spark, tmp_path):
 
     assert t.read() is None
     t.run(source([("a", "1"), ("b", "1"), ("n", None), (None, "1")]), work)
-    before = t.current()
+    before = t.versions()
     with pytest.raises(Exception, match="lost"):
         t.run(source([("a", "2"), ("b", "1"), ("c", "1")]), lambda d: d.withColumn("out", F.raise_error(F.lit("lost"))))
-    assert t.current() == before and t.read().count() == 3
+    assert t.versions() == before and t.read().count() == 3
+
+    def crash():
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        t.run(source([("a", "2"), ("b", "1"), ("c", "1"), ("n", None)]), lambda d: d.withColumn("out", F.upper("id")), crash)
+    assert t.versions() == before and t.read().count() == 3
+    folders = t._folders(before[-1])
     t.run(source([("a", "2"), ("b", "1"), ("c", "1"), ("n", None)]), work)
     assert seen == [["a", "b", "n"], ["a", "c"]]
     assert sorted((r.id, r.sha or "", r.out) for r in t.read().collect()) == [("a", "2", "A"), ("b", "1", "B"), ("c", "1", "C"), ("n", "", "N")]
-    t.run(source([("b", "1")]), work)
-    assert seen[-1] == [] and [r.id for r in t.read().collect()] == ["b"]
+    # Only the buckets of a and c were written anew, and a run without changes publishes nothing.
+    changed = {b for b, f in t._folders(2).items() if folders.get(b) != f}
+    assert t.versions() == [1, 2] and len(changed) <= 2 and len(folders) == 3
+    assert t.run(source([("a", "2"), ("b", "1"), ("c", "1"), ("n", None)]), work) == 2 and t.versions() == [1, 2]
+    # A run that another one overtook is refused.
+    with pytest.raises(I.ConcurrentRun):
+        t.run(source([("a", "3"), ("b", "1")]), lambda d: d.withColumn("out", F.upper("id")), lambda: t.run(source([("b", "1")]), work))
+    assert t.versions() == [1, 2, 3] and [r.id for r in t.read().collect()] == ["b"]
+    assert t.vacuum(1) >= 2 and t.versions() == [3] and [r.id for r in t.read().collect()] == ["b"]
+    t.run(source([]), work)
+    assert t.read() is None and sorted(r.id for r in t.pending(source([("z", "1")])).collect()) == ["z"]
 
 
 def test_skewed_lookup(spark):
