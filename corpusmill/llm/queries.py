@@ -100,7 +100,12 @@ def p10_passages(spark, d):
     return shared_spans.passages(table(spark, d, "documents")).select("a", "b", "a_start", "a_end", "b_start", "b_end", "longest", F.round("score", 3).alias("score"), F.round("identity", 4).alias("identity"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_profile, p3_found, p3_counts, p4_found, p4_composition, p5_found, p5_llr, p6_found, p6_ppmi, p6_top_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages)}
+def p10_classes(spark, d):
+    """Which documents are copies of one another: the members of the classes that p10_passages names."""
+    return shared_spans.classes(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_profile, p3_found, p3_counts, p4_found, p4_composition, p5_found, p5_llr, p6_found, p6_ppmi, p6_top_ppmi, p8_ids, p9_found, p9_items, p10_found, p10_coverage, p10_passages, p10_classes)}
 
 _PLAIN = r"nullif(regexp_replace(regexp_replace(lower(nfc_normalize({0})), '[\s_\-]+', '-', 'g'), '^-+|-+$', '', 'g'), '')"
 _KEYWORD = _PLAIN.format("keyword")
@@ -165,6 +170,7 @@ SQL = {
 c as (select doc_id, sum(new)::bigint as part from g group by 1)
 select doc_id, coalesce(length(text), 0)::bigint as n_chars, coalesce(part, 0)::bigint as shared, case when coalesce(length(text), 0) > 0 then round(coalesce(part, 0) / length(text), 6) else 0 end as share
 from documents left join c using (doc_id)""",
+    "p10_classes": "select doc_id, min(doc_id) over (partition by text) as class_id from documents where length(text) >= 300",
     "p3_found": f"{_COUNTS} select keyword, mark from c where mark is not null",
     "p3_counts": f"{_COUNTS} select keyword, occurrences, files, mark from c",
     "p5_found": f"{_PAIRS} select tag_a, tag_b from z",

@@ -15,10 +15,12 @@ SEED_K = 32
 CHAIN_K = 24
 #: Width of a grid cell of window starts relative to their seed.
 CELL = 27
-#: Parts of one key's documents that choose partners among themselves first.
-SALTS = 64
+#: Parts of one key's documents that are put in order by themselves.
+SALTS = 256
 #: A seed in more than this share of all seed rows is looked up by broadcast: at most 1/HOT such seeds exist.
 HOT = 0.001
+#: Neighbours by so many seeds are chained though they share no grid substring.
+SEEDS = 2
 #: Cost of a skipped character in either text when anchors are chained.
 GAP = 0.05
 
@@ -34,11 +36,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Hashes:
-    """Hash of any substring of a text (code points) in constant time: a polynomial modulo 2^64 over mixed characters."""
+    """Hash of any substring of a text (code points) in constant time: a polynomial modulo 2^64 over mixed characters.
 
-    def __init__(self, text: str):
-        self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    Several texts may stand one after another; `ends` are then where each ends.
+    """
+
+    def __init__(self, *texts: str):
+        self.codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         n = self.n = len(self.codes)
+        self.ends = np.cumsum([len(t) for t in texts])
         power = np.full(n + 1, _BASE)
         back = np.full(n + 1, _INVERSE)
         power[0] = back[0] = 1
@@ -74,19 +80,25 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def seeds(h: Hashes, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, position, first, last) of the seeds of a text of at least `span` characters.
+    """(hash, position, first, last) of the seeds of the texts of h, positions and starts as in the texts put together.
 
     A seed is the least k-mer hash (leftmost of equal ones) of a window of `span` characters; first..last are the
     starts of the windows it is the least of. Equal windows have equal seeds at equal places, wherever they stand.
     """
     v = h.all(SEED_K)
-    order = np.argsort(v, kind="stable")
-    rank = np.empty(len(v), np.int64)
-    rank[order] = np.arange(len(v))
-    at = order[_sliding_min(rank, span - SEED_K + 1)]
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    last = np.r_[first[1:] - 1, len(at) - 1]
-    return v[at[first]], at[first], first, last
+    if h.n < span:
+        return v[:0], *(np.zeros(0, np.int64) for _ in range(3))
+    # Half of the hash orders the k-mers, then their place: the choice depends on nothing but the window.
+    low = np.uint64(0xFFFFFFFF)
+    at = (_sliding_min((v & ~low) | np.arange(len(v), dtype=np.uint64), span - SEED_K + 1) & low).astype(np.int64)
+    start = np.arange(len(at))
+    text = np.searchsorted(h.ends, start, side="right")
+    inside = start + span <= h.ends[np.minimum(text, len(h.ends) - 1)]  # windows that lie in one text
+    at, start = at[inside], start[inside]
+    if not len(at):
+        return v[:0], *(np.zeros(0, np.int64) for _ in range(3))
+    new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)])
+    return v[at[new]], at[new], start[new], start[np.r_[new[1:] - 1, len(at) - 1]]
 
 
 def cells(h: Hashes, positions: np.ndarray, span: int, cell: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,11 +236,18 @@ def align(x: Hashes, y: Hashes, found: list[tuple[int, int, int]], chain: list[i
     return x0, x1, y0, y1, longest[2], longest[0], min(1.0, equal / max(x1 - x0, y1 - y0))
 
 
+_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+
+
+def _columns(schema: str) -> pa.Schema:
+    return pa.schema([(n, _TYPES[t]) for n, t in (c.strip().split() for c in schema.split(","))])
+
+
 def _map(df: DataFrame, schema: str, rows: Callable[[dict], Iterator[tuple]]) -> DataFrame:
     """mapInArrow that handles one input row at a time and sends on results in batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target = pa.schema([(n, {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}[t]) for n, t in (c.strip().split() for c in schema.split(","))])
+        target = _columns(schema)
         parts: list[list] = [[] for _ in target]
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
@@ -244,25 +263,59 @@ def _map(df: DataFrame, schema: str, rows: Callable[[dict], Iterator[tuple]]) ->
     return df.mapInArrow(run, schema)
 
 
+#: Characters that are hashed together; a longer text is hashed by itself.
+TOGETHER = 200_000
+
+
+def _groups(batch: pa.RecordBatch, text: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batch in slices of about TOGETHER characters, with their texts."""
+    texts, first, size = [], 0, 0
+    for i in range(batch.num_rows):
+        texts.append(batch.column(text)[i].as_py())
+        size += len(texts[-1])
+        if size >= TOGETHER:
+            yield batch.slice(first, i + 1 - first), texts
+            texts, first, size = [], i + 1, 0
+    if texts:
+        yield batch.slice(first), texts
+
+
 def _classes(documents: DataFrame, span: int) -> DataFrame:
-    """doc_id, text, h of each document of at least `span` characters; h is equal for equal texts."""
+    """doc_id, text, h, g of each document of at least `span` characters; (h, g), 128 bits, are equal for equal texts."""
     d = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & (F.length("text") >= span))
-    return d.withColumn("h", F.xxhash64("text", F.length("text")))
+    return d.withColumn("h", F.xxhash64("text", F.length("text"))).withColumn("g", F.xxhash64(F.lit(1), "text"))
+
+
+def classes(documents: DataFrame, span: int = 300) -> DataFrame:
+    """doc_id, class_id of each document of at least `span` characters: the least doc_id of those with an equal text.
+
+    Copies stand for one another in passages(), which names class_ids. Null ids and texts give no rows.
+    """
+    d = _classes(documents, span).select("doc_id", "h", "g").distinct()
+    return d.join(d.groupBy("h", "g").agg(F.min("doc_id").alias("class_id")), ["h", "g"]).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
 
 
 def _seed_rows(docs: DataFrame, span: int) -> DataFrame:
-    def rows(r: dict):
-        v, pos, _, _ = seeds(Hashes(r["text"]), span)
-        n = len(v)
-        return v.view(np.int64), pos.astype(np.int32), np.full(n, r["h"]), np.full(n, r["doc_id"])
+    """seed, pos, h, g, doc_id of the seeds of every text."""
+    schema = "seed bigint, pos int, h bigint, g bigint, doc_id bigint"
 
-    return _map(docs, "seed bigint, pos int, h bigint, doc_id bigint", rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in _groups(batch, 0):
+                hashes = Hashes(*texts)
+                v, pos, first, _ = seeds(hashes, span)
+                i = np.searchsorted(hashes.ends, first, side="right")
+                own = pos - np.r_[0, hashes.ends[:-1]][i]
+                yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(own.astype(np.int32)), *(part.column(c).take(pa.array(i)) for c in (1, 2, 3))], schema=_columns(schema))
 
+    return docs.select("text", "h", "g", "doc_id").mapInArrow(run, schema)
 
-def _shared(docs: DataFrame, span: int) -> DataFrame:
-    """doc_id, at (seed positions): of each class of equal texts the least doc_id, with the seeds it shares with another class."""
+
+def _shared_rows(docs: DataFrame, span: int) -> DataFrame:
+    """seed, pos, doc_id: of each class of equal texts the least doc_id, with the seeds it shares with another class."""
     s = materialise(_seed_rows(docs, span), "seeds")
-    per = s.groupBy("seed").agg(F.min("h").alias("a"), F.max("h").alias("b"), F.count("*").alias("n"))
+    own = F.struct("h", "g")
+    per = s.groupBy("seed").agg(F.min(own).alias("a"), F.max(own).alias("b"), F.count("*").alias("n"))
     total = s.count()
     shared = per.where("a <> b")
     hot = shared.where(F.col("n") > HOT * total).select("seed", F.lit(True).alias("hot"))
@@ -270,36 +323,44 @@ def _shared(docs: DataFrame, span: int) -> DataFrame:
     # Rows of hot seeds are settled by the broadcast; their keys then match nothing and spread by document.
     j = s.join(F.broadcast(hot), "seed", "left")
     is_hot = F.col("hot").isNotNull()
-    kept = j.where(is_hot).select("seed", "pos", "h", "doc_id").unionByName(j.where(~is_hot).join(cold, F.col("seed") == F.col("key"), "left_semi").select("seed", "pos", "h", "doc_id"))
-    one = kept.groupBy("h", "pos").agg(F.min("doc_id").alias("doc_id"))
-    return one.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    columns = ["seed", "pos", "h", "g", "doc_id"]
+    kept = j.where(is_hot).select(*columns).unionByName(j.where(~is_hot).join(cold, F.col("seed") == F.col("key"), "left_semi").select(*columns))
+    return kept.groupBy("h", "g", "pos").agg(F.min("doc_id").alias("doc_id"), F.first("seed").alias("seed")).select("seed", "pos", "doc_id")
+
+
+def _shared(docs: DataFrame, span: int) -> DataFrame:
+    """doc_id, at: the positions of the shared seeds of each class."""
+    return _shared_rows(docs, span).groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
 
 
 def _cell_rows(texts: DataFrame, span: int, cell: int) -> DataFrame:
     """key, doc_id, start from doc_id, text, at."""
+    schema = "key bigint, doc_id bigint, start int"
 
-    def rows(r: dict):
-        key, start = cells(Hashes(r["text"]), np.array(r["at"]), span, cell)
-        return key.view(np.int64), np.full(len(key), r["doc_id"]), start.astype(np.int32)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in _groups(batch, 0):
+                hashes, at = Hashes(*texts), part.column(1)
+                begin = np.r_[0, hashes.ends[:-1]]
+                positions = at.flatten().to_numpy() + np.repeat(begin, at.value_lengths().to_numpy())
+                key, start = cells(hashes, positions, span, cell)
+                i = np.searchsorted(hashes.ends, start, side="right")
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(2).take(pa.array(i)), pa.array((start - begin[i]).astype(np.int32))], schema=_columns(schema))
 
-    return _map(texts, "key bigint, doc_id bigint, start int", rows)
+    return texts.select("text", "at", "doc_id").mapInArrow(run, schema)
 
 
-def _partners(rows: DataFrame) -> DataFrame:
-    """a, b (a < b): for each document of each key held by several documents one partner at least.
+def _partners(rows: DataFrame, key: str = "key", distinct: bool = True) -> DataFrame:
+    """a, b (a < b): the neighbours in order of doc_id among the documents of each key.
 
-    Partners are chosen within one of SALTS parts of the key's documents, and across parts only for those alone in
-    theirs: as many pairs as rows, never all pairs, and no document partners a whole hot key.
+    The documents of a key are put in order within SALTS parts, then the first ones of the parts: as many pairs as
+    rows, and no document has more than a few partners by one key, however many hold it.
     """
-    w = Window.partitionBy("key", "salt")
-    r = rows.select("key", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")).distinct()
-    r = r.select("*", F.min("doc_id").over(w).alias("low"), F.max("doc_id").over(w).alias("high"))
-    within = r.where("low <> high").select("doc_id", F.when(F.col("doc_id") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("partner"))
-    heads = r.where("doc_id = low").groupBy("key").agg(F.min("low").alias("first"), F.max("low").alias("last")).where("first <> last")
-    # Every part's head meets the first head, so the parts hang together too.
-    across = r.where("doc_id = low").join(heads, "key").select("doc_id", F.when(F.col("doc_id") == F.col("first"), F.col("last")).otherwise(F.col("first")).alias("partner"))
-    p = within.unionByName(across)
-    return p.select(F.least("doc_id", "partner").alias("a"), F.greatest("doc_id", "partner").alias("b")).distinct()
+    r = rows.select(key, "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt")).distinct()
+    r = r.withColumn("before", F.lag("doc_id").over(Window.partitionBy(key, "salt").orderBy("doc_id")))
+    heads = r.where("before is null").withColumn("before", F.lag("doc_id").over(Window.partitionBy(key).orderBy("doc_id")))
+    pairs = r.unionByName(heads).where("before is not null").select(F.col("before").alias("a"), F.col("doc_id").alias("b"))
+    return pairs.distinct() if distinct else pairs  # else once for each key
 
 
 _PASSAGE = "a bigint, b bigint, a_start int, a_end int, b_start int, b_end int, longest int, longest_a int, longest_b int, score double, identity double"
@@ -313,7 +374,7 @@ def _chained(pairs: DataFrame, docs: DataFrame, span: int, least: float) -> Data
     """
 
     def rows(r: dict):
-        # Rows come mostly in order of a, of which a hot one has many partners.
+        # Pairs of one a come mostly together.
         if last.get("a") != r["a"]:
             last.update(a=r["a"], y=Hashes(r["ta"]))
         x, y = Hashes(r["tb"]), last["y"]
@@ -335,10 +396,15 @@ def _chained(pairs: DataFrame, docs: DataFrame, span: int, least: float) -> Data
 def _passages(documents: DataFrame, span: int, every: bool) -> DataFrame:
     """Passages by the steps of passages(); without `every` only keys of documents that lack a passage of `span` are cut again."""
     docs = _classes(documents, span)
-    at = materialise(_shared(docs, span), "shared-seeds")
+    shared = materialise(_shared_rows(docs, span), "shared-seeds")
+    at = shared.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
     texts = docs.select("doc_id", "text")
     keys = materialise(_cell_rows(texts.join(at, "doc_id"), span, CELL), "cells")
-    first = materialise(_chained(_partners(keys), texts, span, span / 2), "passages")
+    pairs = _partners(keys)
+    if every:
+        near = _partners(shared, "seed", distinct=False).groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= SEEDS).select("a", "b")
+        pairs = pairs.unionByName(near).distinct()
+    first = materialise(_chained(pairs, texts, span, span / 2), "passages")
     sizes = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     crowded = sizes.where("low <> high").select("key")
     if not every:
@@ -354,12 +420,13 @@ def _passages(documents: DataFrame, span: int, every: bool) -> DataFrame:
 def passages(documents: DataFrame, span: int = 300) -> DataFrame:
     """a, b, a_start, a_end, b_start, b_end, longest, longest_a, longest_b, score, identity: passages that documents a < b share.
 
-    Exact copies stand for one another: a and b are the least doc_ids of their classes (see recurring()). The classes
-    that hold a window of `span` characters hang together by rows of pairs that both hold it:
+    Exact copies stand for one another: a and b are the least doc_ids of their classes, which classes() gives. The
+    classes that hold a window of `span` characters hang together by rows of pairs that both hold it:
 
     1. Each window of `span` characters has a seed, its least k-mer; seeds of two classes are joined (counts first,
        so that nothing is keyed by a seed that only one class has).
-    2. Documents with a shared seed give the grid substrings around it; documents of one key get partners.
+    2. Documents with a shared seed give the grid substrings around it; neighbours in the order of a key's documents
+       become pairs, and so do those that are neighbours by SEEDS seeds, which need no verbatim run of any length.
     3. The pair's k-mer matches are chained (Fenwick tree) and aligned.
     4. A pair of one grid key agrees on span - CELL + 1 characters, which may fall short of `span` though other
        members of the key reach it. Keys of several documents are therefore cut again with cells of one character,
@@ -380,9 +447,9 @@ def recurring(documents: DataFrame, span: int = 300) -> DataFrame:
     passages; one passage settles a document, so only keys of the others are cut again. Cases as in passages().
     """
     docs = _classes(documents, span)
-    classes = docs.select("doc_id", "h")
-    size = classes.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    copies = classes.join(size, "h", "left_semi").select("doc_id")
+    own = docs.select("doc_id", "h", "g")
+    size = own.groupBy("h", "g").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
+    copies = own.join(size, ["h", "g"], "left_semi").select("doc_id")
     p = _passages(documents, span, False).where(F.col("longest") >= span)
     return copies.unionByName(p.select(F.explode(F.array("a", "b")).alias("doc_id"))).distinct()
 
@@ -405,8 +472,8 @@ def coverage(documents: DataFrame, span: int = 300) -> DataFrame:
     starts = fine.join(twice, "key", "left_semi").select("doc_id", "start").distinct()
     ahead = F.lead("start").over(Window.partitionBy("doc_id").orderBy("start")) - F.col("start")
     part = starts.select("doc_id", F.least(F.lit(span), F.coalesce(ahead, F.lit(span))).alias("new")).groupBy("doc_id").agg(F.sum("new").alias("part"))
-    classes = docs.select("doc_id", "h")
-    copied = classes.join(classes.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high"), "h", "left_semi").select("doc_id").distinct().withColumn("copied", F.lit(True))
+    own = docs.select("doc_id", "h", "g")
+    copied = own.join(own.groupBy("h", "g").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high"), ["h", "g"], "left_semi").select("doc_id").distinct().withColumn("copied", F.lit(True))
     every = documents.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max(F.coalesce(F.length("text"), F.lit(0))).cast("bigint").alias("n_chars"))
     j = every.join(part, "doc_id", "left").join(copied, "doc_id", "left")
     shared = F.when(F.col("copied").isNotNull(), F.col("n_chars")).otherwise(F.coalesce("part", F.lit(0)).cast("bigint"))

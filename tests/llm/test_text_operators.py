@@ -1,6 +1,7 @@
 import random
 import re
 import unicodedata
+from collections import Counter
 
 import pytest
 
@@ -211,3 +212,59 @@ def test_seeds_depend_on_content_only():
     a, b = ss.Hashes(noise(77) + core + noise(9)), ss.Hashes(noise(5) + core + noise(300))
     sa, sb = (set(ss.seeds(h, 300)[0].tolist()) for h in (a, b))
     assert sa & sb
+
+
+def test_batches_have_the_seeds_of_single_texts():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab cd") for _ in range(n)) for n in (0, 299, 300, 1200, 31, 5000)]
+    together = ss.Hashes(*texts)
+    v, pos, first, last = ss.seeds(together, 300)
+    begin = 0
+    for t in texts:
+        own = (first >= begin) & (first < begin + len(t))
+        alone = ss.seeds(ss.Hashes(t), 300)
+        assert [x.tolist() for x in alone] == [v[own].tolist(), (pos[own] - begin).tolist(), (first[own] - begin).tolist(), (last[own] - begin).tolist()]
+        begin += len(t)
+
+
+def test_partners_hang_together_without_a_hub(spark):
+    rows = spark.range(3000).selectExpr("id AS doc_id", "7 AS key").unionByName(spark.range(5000, 5002).selectExpr("id AS doc_id", "8 AS key"))
+    pairs = [(r.a, r.b) for r in ss._partners(rows).collect()]
+    degree = Counter(x for p in pairs for x in p)
+    root = {i: i for p in pairs for i in p}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    assert len(pairs) == 2999 + 1 and max(degree.values()) <= 4 and len({find(i) for i in range(3000)}) == 1 and all(a < b for a, b in pairs)
+
+
+def test_fuzzy_passages_by_seeds(spark):
+    """Passages of 900 characters with an edit in every hundred: recall of their pairs, by the shared seeds alone."""
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n))
+
+    def edited(t):
+        out = list(t)
+        for i in range(50, len(out), 100):
+            out[i] = "#"
+        return "".join(out)
+
+    rows, want = [], set()
+    for k in range(60):
+        core = noise(900)
+        rows += [(2 * k, noise(400) + core + noise(300)), (2 * k + 1, noise(200) + edited(core) + noise(500))]
+        want.add((2 * k, 2 * k + 1))
+    found = {(r.a, r.b): r for r in ss.passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert set(found) <= want and len(found) >= 0.9 * len(want)
+    assert all(r.longest < 300 and r.identity > 0.9 for r in found.values())
+
+
+def test_classes(spark):
+    t = "x" * 300
+    rows = [(5, t), (3, t), (9, t + "y"), (1, "short"), (None, t), (7, None)]
+    assert {(r.doc_id, r.class_id) for r in ss.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()} == {(5, 3), (3, 3), (9, 9)}
