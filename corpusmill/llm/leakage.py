@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusmill.functions.normal import nfkc
-from corpusmill.session import materialise
+from corpusmill.session import bounded, materialise
 
-#: Passages searched in one pass over the corpus. It bounds the term table that is broadcast and what the driver plans with.
-PASSAGES = 5_000
 #: Rare words of each window whose lists are intersected first.
 ANCHORS = 2
+#: Rows of the items' words, of their anchors and of the passages up to which these tables are broadcast; beyond it they meet the index by shuffle.
+BROADCAST_ROWS = 500_000
+#: Words of all passages up to which the passages are broadcast.
+BROADCAST_WORDS = 2_000_000
 
 
 def words(text: Column) -> Column:
@@ -19,74 +24,82 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.upper(t)), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _plan(passages: list[tuple[int, list[int]]], counts: dict[int, int], run: int) -> list[tuple[int, int, int]]:
-    """(tid, pid, offset) of the ANCHORS rarest words of every window of `run` words."""
-    chosen = set()
-    for pid, tids in passages:
-        order = sorted(range(len(tids)), key=lambda o: (counts.get(tids[o], 0), tids[o], o))
-        place = {o: k for k, o in enumerate(order)}
-        for s in range(len(tids) - run + 1):
-            for o in sorted(range(s, s + run), key=place.__getitem__)[:ANCHORS]:
-                chosen.add((tids[o], pid, o))
-    return sorted(chosen)
+def postings(documents: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
+    """tid, doc_id, pos: positional postings of `terms`(word, tid) in the whole corpus."""
+    tokens = documents.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    return tokens.join(F.broadcast(terms) if small else terms, "word").select("tid", "doc_id", "pos")
 
 
-def postings(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """tid, doc_id, pos: positional postings of `terms`(word, tid), a table of bounded size, in the whole corpus."""
-    tokens = documents.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
-    return tokens.join(F.broadcast(terms), "word").select("tid", "doc_id", "pos")
+def _anchors(placed: DataFrame, counts: DataFrame, run: int, anchors: int) -> DataFrame:
+    """tid, pid, off: the `anchors` rarest words of every window of `run` words of each passage."""
 
+    def run_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            for pid, ws in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                tids = [w["tid"] for w in ws]  # in order of off
+                order = sorted(range(len(ws)), key=lambda o: (ws[o]["n"], tids[o], o))
+                place = {o: k for k, o in enumerate(order)}
+                chosen = {o for s in range(len(ws) - run + 1) for o in sorted(range(s, s + run), key=place.__getitem__)[:anchors]}
+                out += [(tids[o], pid, o) for o in sorted(chosen)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["tid", "pid", "off"])
 
-def leaks(documents: DataFrame, items: DataFrame, run: int = 12, slop: int = 0) -> DataFrame:
-    """doc_id, item_id, longest, matched, words of each document that holds `run` consecutive words of an item's passage.
+    w = placed.join(counts, "tid", "left").select("pid", F.struct("off", "tid", F.coalesce("n", F.lit(0)).alias("n")).alias("w"))
+    return w.groupBy("pid").agg(F.array_sort(F.collect_list("w")).alias("ws")).mapInArrow(run_of, "tid bigint, pid bigint, off int")  # the words of one passage
 
-    longest: words of the longest run in common; matched: words of the passage that stand in the document at their
-    place relative to that run, or within `slop` words of it (proximity); words: those of the passage. Null texts,
-    passages and ids match nothing; passages under `run` words cannot be found; repeated rows count once; empty
-    tables give no rows.
 
-    Items are searched in blocks of PASSAGES. For a block the corpus' positional postings of the block's words are
-    written once; then the lists of the rarest words of every window are intersected after subtracting offsets (a
-    match lies on one diagonal, so at least ANCHORS of them meet there), and the surviving diagonals are filled in
-    from the full lists. Work follows the postings of rare words, not documents times items.
+def _islands(there: DataFrame, keys: list[str], off: str, gap: int, name: str) -> DataFrame:
+    """Of each key the most distinct offsets in a row, where neighbours are at most `gap` offsets apart."""
+    w = Window.partitionBy(*keys).orderBy(off)
+    x = there.select(*keys, off).distinct().withColumn("new", F.when(F.col(off) - F.lag(off).over(w) <= gap, 0).otherwise(1))
+    x = x.withColumn("island", F.sum("new").over(w)).groupBy(*keys, "island").agg(F.count("*").cast("int").alias("n"))
+    return x.groupBy(*keys).agg(F.max("n").alias(name), F.sum("n").cast("int").alias("matched"))
+
+
+def leaks(documents: DataFrame, items: DataFrame, run: int = 12, slop: int = 0) -> DataFrame:
+    """doc_id, item_id, longest, near, matched, words of each document that holds a part of an item's passage.
+
+    longest: words of the longest run of consecutive words of the passage that stand in the document one after another.
+    With slop 0 a document is found if longest >= run, and near = longest. With slop > 0 a word of the passage counts
+    where it stands within `slop` words of its place, and up to `slop` words in a row may be missing; near is the number
+    of words of the longest such stretch, and a document is found if near >= run. matched: all words that count so;
+    words: those of the passage. Null texts, passages and ids match nothing; passages under `run` words cannot be
+    found; repeated rows count once; empty tables give no rows.
+
+    The positional postings of the passages' words over the whole corpus are written once, whatever the number of
+    items. The lists of the rarest words of every window, `slop` more than ANCHORS so that some may be missing, are
+    intersected after subtracting offsets: a match lies on one diagonal, so ANCHORS of them meet there. The surviving
+    diagonals are filled in from the full lists. Work follows the postings of rare words, not documents times items.
     """
-    spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     p = items.select("item_id", words(F.col("passage")).alias("w")).where("item_id is not null and w is not null").distinct()
-    p = p.where(F.size("w") >= run)
-    blocks = max(1, -(-p.count() // PASSAGES))
-    out = None
-    for b in range(blocks):
-        own = p if blocks == 1 else p.where(F.pmod(F.xxhash64("item_id", "w"), F.lit(blocks)) == b)
-        rows = own.collect()  # about PASSAGES rows
-        vocabulary = sorted({w for r in rows for w in r["w"]})
-        tid = {w: i for i, w in enumerate(vocabulary)}
-        passages = [(k, [tid[w] for w in r["w"]]) for k, r in enumerate(rows)]
-        found = _search(docs, spark.createDataFrame([(w, i) for w, i in tid.items()], "word string, tid int"), passages, run, slop)
-        ids = spark.createDataFrame([(k, r["item_id"]) for k, r in enumerate(rows)], f"pid int, item_id {items.schema['item_id'].dataType.simpleString()}")
-        found = found.join(F.broadcast(ids), "pid").drop("pid")
-        out = found if out is None else out.unionByName(found)
-    best = F.max(F.struct("longest", "matched", "words")).alias("x")
-    return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.longest", "x.matched", "x.words")
-
-
-def _search(docs: DataFrame, terms: DataFrame, passages: list[tuple[int, list[int]]], run: int, slop: int) -> DataFrame:
-    spark = docs.sparkSession
-    index = materialise(postings(docs, terms), "postings")
-    counts = {r["tid"]: r["count"] for r in index.groupBy("tid").count().collect()}  # as many rows as the block has words
-    anchors = spark.createDataFrame(_plan(passages, counts, run), "tid int, pid int, off int")
-    hits = index.join(F.broadcast(anchors), "tid").select("doc_id", "pid", (F.col("pos") - F.col("off")).alias("diagonal"), "off")
+    p = materialise(p.where(F.size("w") >= run).select(F.monotonically_increasing_id().alias("pid"), "item_id", "w"), "passages")
+    terms = materialise(p.select(F.explode("w").alias("word")).distinct().select("word", F.monotonically_increasing_id().alias("tid")), "terms")
+    few = bounded(terms, BROADCAST_ROWS)
+    index = materialise(postings(docs, terms, few), "postings")
+    placed = materialise(p.select("pid", F.posexplode("w").alias("off", "word")).join(F.broadcast(terms) if few else terms, "word").select("pid", "off", "tid"), "placed")
+    counts = index.groupBy("tid").agg(F.count("*").alias("n"))
+    anchors = materialise(_anchors(placed, counts, run, ANCHORS + slop), "anchors")
+    side = (lambda df: F.broadcast(df)) if bounded(anchors, BROADCAST_ROWS) else (lambda df: df)
+    hits = index.join(side(anchors), "tid").select("doc_id", "pid", (F.col("pos") - F.col("off")).alias("diagonal"), "off")
+    shifts = F.sequence(F.lit(-slop), F.lit(slop))
+    if slop:
+        hits = hits.select("doc_id", "pid", "off", F.explode(shifts).alias("shift"), F.col("diagonal").alias("d")).select("doc_id", "pid", (F.col("d") + F.col("shift")).alias("diagonal"), "off")
     diagonals = hits.groupBy("doc_id", "pid", "diagonal").agg(F.count_distinct("off").alias("n")).where(F.col("n") >= ANCHORS).drop("n")
-    full = spark.createDataFrame(passages, "pid int, tids array<int>")
-    shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
-    want = diagonals.join(F.broadcast(full), "pid").select("doc_id", "pid", "diagonal", F.size("tids").alias("words"), F.posexplode("tids").alias("off", "tid"))
-    want = want.select("*", shifts.alias("shift")).withColumn("pos", F.col("diagonal") + F.col("off") + F.col("shift"))
-    there = want.join(index, ["doc_id", "tid", "pos"]).select("doc_id", "pid", "diagonal", "words", "off", "shift").distinct()
-    exact = there.where("shift = 0")
-    w = Window.partitionBy("doc_id", "pid", "diagonal").orderBy("off")
-    runs = exact.withColumn("island", F.col("off") - F.row_number().over(w)).groupBy("doc_id", "pid", "diagonal", "words", "island").agg(F.count("*").alias("n"))
-    longest = runs.groupBy("doc_id", "pid", "diagonal", "words").agg(F.max("n").cast("int").alias("longest"), F.sum("n").cast("int").alias("matched")).where(F.col("longest") >= run)
+    full = placed.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("off", "tid"))).alias("ws"))  # the words of one passage
+    side = (lambda df: F.broadcast(df)) if bounded(placed, BROADCAST_WORDS) else (lambda df: df)
+    want = diagonals.join(side(full), "pid").select("doc_id", "pid", "diagonal", F.explode("ws").alias("w")).select("doc_id", "pid", "diagonal", "w.off", "w.tid")
+    want = want.select("*", F.explode(shifts).alias("shift")).withColumn("pos", F.col("diagonal") + F.col("off") + F.col("shift"))
+    there = want.join(index, ["doc_id", "tid", "pos"]).select("doc_id", "pid", "diagonal", "off", "shift")
+    keys = ["doc_id", "pid", "diagonal"]
     if slop:
-        near = there.groupBy("doc_id", "pid", "diagonal").agg(F.count_distinct("off").cast("int").alias("near"))
-        longest = longest.join(near, ["doc_id", "pid", "diagonal"]).withColumn("matched", F.col("near")).drop("near")
-    return longest.select("doc_id", "pid", "longest", "matched", "words")
+        there = materialise(there, "near")
+        found = _islands(there, keys, "off", slop + 1, "near").where(F.col("near") >= run)
+        exact = _islands(there.where("shift = 0"), keys, "off", 1, "longest").select(*keys, "longest")
+        found = found.join(exact, keys, "left").withColumn("longest", F.coalesce("longest", F.lit(0)))
+    else:
+        found = _islands(there, keys, "off", 1, "longest").where(F.col("longest") >= run).withColumn("near", F.col("longest"))
+    side = F.broadcast if bounded(p, BROADCAST_ROWS) else (lambda df: df)
+    found = found.join(side(p.select("pid", "item_id", F.size("w").alias("words"))), "pid")
+    best = F.struct(F.max("longest").alias("longest"), F.max("near").alias("near"), F.max(F.struct("near", "longest", "matched", "words")).alias("best")).alias("x")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.longest", "x.near", "x.best.matched", "x.best.words")

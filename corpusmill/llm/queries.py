@@ -83,9 +83,10 @@ def p9_found(spark, d):
 
 
 def p9_items(spark, d):
-    """Per item that leaked: how many documents hold a part of it, and how long a part; words within 2 of their place count as matched."""
+    """Per item that leaked: documents that hold a part verbatim, documents with a near match (words moved or missing by 2 at most) too, the longest part, the greatest share."""
     x = leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), slop=2)
-    return x.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("longest").alias("longest"), F.max(F.round(F.col("matched") / F.col("words"), 4)).alias("share"))
+    verbatim = F.count_if(F.col("longest") >= 12).alias("documents")
+    return x.groupBy("item_id").agg(verbatim, F.count("*").alias("near_documents"), F.max("longest").alias("longest"), F.max(F.round(F.col("matched") / F.col("words"), 4)).alias("share"))
 
 
 def p10_found(spark, d):

@@ -80,13 +80,38 @@ def test_leakage_against_loop(spark):
     assert set(found(spark, rows, items, run=6)) == want and len(want) > 20
 
 
-def test_leakage_in_blocks_and_proximity(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "PASSAGES", 2)
+def test_leakage_by_shuffle_and_proximity(spark, monkeypatch):
     items = [(i, " ".join(f"v{i}x{j}" for j in range(14))) for i in range(5)]
     broken = items[2][1].split()
-    got = found(spark, [(i, p) for i, p in items] + [(50, " ".join(broken[:12] + ["extra"] + broken[12:]))], items, slop=1)
-    assert set(got) == {(i, i) for i in range(5)} | {(50, 2)}
-    assert got[50, 2].longest == 12 and got[50, 2].matched == 14
+    rows = [(i, p) for i, p in items] + [(50, " ".join(broken[:12] + ["extra"] + broken[12:]))]
+    for most in (leakage.BROADCAST_ROWS, 1):
+        monkeypatch.setattr(leakage, "BROADCAST_ROWS", most)
+        monkeypatch.setattr(leakage, "BROADCAST_WORDS", most)
+        got = found(spark, rows, items, slop=1)
+        assert set(got) == {(i, i) for i in range(5)} | {(50, 2)}
+        assert got[50, 2].longest == 12 and got[50, 2].near == got[50, 2].matched == 14
+
+
+def test_near_matches(spark):
+    """Passages of 40 words in which every sixth word is another, is left out or has a neighbour inserted: no 12 words in a row are left."""
+    rng = random.Random(6)
+    items = [(i, " ".join(f"t{rng.randrange(3000)}" for _ in range(40))) for i in range(60)]
+    rows = []
+    for i, p in items:
+        w = p.split()
+        out = []
+        for j, x in enumerate(w):
+            kind = i % 3 if j % 6 == 5 else 3
+            if kind == 1 and j > 20:  # several words left out in a row would move the rest too far
+                kind = 0
+            out += {0: ["other"], 1: [] if j == 5 else [x], 2: [x, "more"] if j == 5 else [x] if j % 12 else ["other"], 3: [x]}[kind]
+            out += ["cut"] if kind == 1 and j == 17 else []
+        rows.append((i, " ".join(["noise"] * (i % 4) + out)))
+    exact, near = found(spark, rows, items), found(spark, rows, items, slop=2)
+    third = {(i, i) for i in range(0, 60, 3)}
+    assert not third & set(exact) and set(exact) <= set(near)
+    assert set(near) <= {(i, i) for i in range(60)} and len(near) >= 54 and third <= set(near)
+    assert all(near[k].near >= 30 and near[k].longest == 5 for k in third)
 
 
 def test_leakage_empty(spark):
