@@ -132,8 +132,8 @@ def weights(tokens: Sequence[str], compat: bool = False) -> dict[str, float]:
 
 
 def similarity(a: dict[str, float], b: dict[str, float]) -> float:
-    size = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
-    return sum(x * b[w] for w, x in a.items() if w in b) / size if size else 0.0
+    size = math.sqrt(math.fsum(x * x for x in a.values())) * math.sqrt(math.fsum(x * x for x in b.values()))
+    return math.fsum(x * b[w] for w, x in a.items() if w in b) / size if size else 0.0
 
 
 def density(text: str) -> float:
@@ -153,7 +153,8 @@ def structure(b: Block, place: int, total: int) -> float:
 
 
 def thousandth(x: float) -> float:
-    return math.floor(x * 1000 + 0.5) / 1000
+    """x to three decimals, halves up; what is half is decided at the ninth, below which sums depend on their order."""
+    return math.floor(round(x, 9) * 1000 + 0.5) / 1000
 
 
 def slug(text: str) -> str:
@@ -172,7 +173,7 @@ def scores(blocks: list[Block], text: str, compat: bool = False) -> list[dict[st
             "novelty": 1 - similarity(own, whole) if whole else 0.5,
             "structural": structure(b, i, len(blocks)),
         }
-        total = sum(s[k] * share for k, share in SHARES.items())
+        total = math.fsum(s[k] * share for k, share in SHARES.items())
         out.append({k: thousandth(v) for k, v in s.items()} | {"score": thousandth(total)})
         before = own
     return out

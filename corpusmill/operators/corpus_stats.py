@@ -129,12 +129,22 @@ def packed(vectors: pd.Series) -> pd.Series:
     return vectors.map(lambda x: base64.b64encode(np.asarray(x, "<f4").tobytes()).decode(), na_action="ignore")
 
 
+#: Query vectors that are compared with all rows in one pass.
+QUERIES = 5_000
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """query_id, vec_id, cosine, rank: the k nearest other vectors of each query vector; queries are a stated set, broadcast in one block.
+    """query_id, vec_id, cosine, rank: the k nearest other vectors of each query vector; queries are a stated set, taken in blocks of QUERIES that are broadcast.
 
     Per partition only the k best of each query survive (the window's group limit), so the shuffle is queries x k rows a task.
     """
-    q = queries.select(F.col("vec_id").alias("query_id"), normalised(F.col("embedding")).alias("q"))
-    j = vectors.select("vec_id", normalised(F.col("embedding")).alias("v")).join(F.broadcast(q), F.col("vec_id") != F.col("query_id"))
-    s = j.select("query_id", "vec_id", F.round(dot(F.col("q"), F.col("v")), 6).alias("cosine"))
-    return s.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))).where(F.col("rank") <= k)
+    blocks, out = max(1, -(-queries.count() // QUERIES)), None
+    v = vectors.select("vec_id", normalised(F.col("embedding")).alias("v"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id")
+    for b in range(blocks):
+        own = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b)
+        q = own.select(F.col("vec_id").alias("query_id"), normalised(F.col("embedding")).alias("q"))
+        s = v.join(F.broadcast(q), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot(F.col("q"), F.col("v")), 6).alias("cosine"))
+        s = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        out = s if out is None else out.unionByName(s)
+    return out

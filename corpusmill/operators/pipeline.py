@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.functions.vocabulary import Vocabulary
 from corpusmill.operators import blocks as B, classify as C, corpus_stats as S, quality as Q, skew
 from corpusmill.session import materialise
 
-#: Terms of a loom's profile in `loom_placement`, as in its SQL.
-PROFILE = 50
 # From these similarities on a placement is sure, or at least likely.
 SURE, LIKELY = 0.8, 0.6
 
@@ -30,7 +28,7 @@ def index_entries(docs: DataFrame, vocabulary: Vocabulary | None = None) -> Data
     e = T.with_readability(T.with_summary(d, out="extract", stop=v.stop_words)).withColumn("content", F.col("text"))
     e = Q.content_rules(e).withColumn("entities", T.entities(F.col("text")))
     none = F.array().cast("array<string>")
-    e = e.join(C.categorise(d, v), "doc_id").join(keywords, "doc_id", "left").join(phrases, "doc_id", "left")
+    e = C.with_categories(e, v).join(keywords, "doc_id", "left").join(phrases, "doc_id", "left")
     e = e.withColumn("keywords", F.coalesce("keywords", none)).withColumn("phrases", F.coalesce("phrases", none))
     given = F.coalesce(F.nullif("summary", F.lit("")), "extract")
     return e.select(
@@ -55,28 +53,22 @@ def tagger_change(docs: DataFrame) -> DataFrame:
     return rows.select("measure", F.col("rich").alias("before"), F.col("unified").alias("after"), (F.col("unified") - F.col("rich")).alias("change"))
 
 
-def placement(strands: DataFrame, words: Column, profile: int | None = None) -> DataFrame:
-    """path, loom, similarity, decision: the loom whose profile is most like the strand's words, as a cosine; ties by name.
+def placement(strands: DataFrame, words: Column) -> DataFrame:
+    """path, loom, similarity, decision: the loom whose words are most like the strand's, as a cosine of counts; ties by name.
 
-    A loom's profile is all its words, looked up by shuffle with hot words apart (skew.lookup(); one row per word holds
-    the looms that have it). Strands that share no word with a loom have no loom, similarity 0 and are `new`; those
-    without words have no row. With `profile` it is cut to so many most frequent words (a row per loom and word,
-    broadcast), and strands that hold none of them have no row.
+    All words of a loom count, looked up by shuffle with hot words apart (skew.lookup(); one row per word holds the looms
+    that have it). Strands that share no word with a loom have no loom, similarity 0 and are `new`; those without words
+    have no row.
     """
     t = T.exploded(strands, ["path", "loom"], words, "term").groupBy("path", "loom", "term").agg(F.count("*").alias("n"))
-    t = t if profile else materialise(t, "loom-words")
+    t = materialise(t, "loom-words")
     top = t.where("loom is not null").groupBy("loom", "term").agg(F.sum("n").alias("w"))
-    if profile:
-        top = top.withColumn("r", F.row_number().over(Window.partitionBy("loom").orderBy(F.desc("w"), "term"))).where(F.col("r") <= profile)
     length = top.groupBy("loom").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
     weights = top.join(length, "loom").select(F.col("loom").alias("to"), "term", (F.col("w") / F.col("len")).alias("p"))
-    if profile:
-        m = t.join(F.broadcast(weights), "term")
-    else:
-        per = weights.groupBy("term").agg(F.collect_list(F.struct("to", "p")).alias("looms")).join(t.groupBy("term").agg(F.count("*").alias("many")), "term")
-        m = skew.lookup(t, per, "term", "many", t.count(), F.col("path")).select("path", "n", F.explode("looms").alias("x")).select("path", "n", "x.to", "x.p")
+    per = weights.groupBy("term").agg(F.collect_list(F.struct("to", "p")).alias("looms")).join(t.groupBy("term").agg(F.count("*").alias("many")), "term")
+    m = skew.lookup(t, per, "term", "many", t.count(), F.col("path")).select("path", "n", F.explode("looms").alias("x")).select("path", "n", "x.to", "x.p")
     size = t.groupBy("path").agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("len"))
-    s = m.groupBy("path", "to").agg(F.sum(F.col("n") * F.col("p")).alias("dot")).join(size, "path", "inner" if profile else "right")
+    s = m.groupBy("path", "to").agg(F.sum(F.col("n") * F.col("p")).alias("dot")).join(size, "path", "right")
     s = s.select("path", F.col("to").alias("loom"), F.round(F.coalesce("dot", F.lit(0.0)) / F.col("len"), 6).alias("similarity"))
     best = s.groupBy("path").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "loom")).alias("x")).select("path", "x.loom", F.abs("x.s").alias("similarity"))
     return best.withColumn("decision", F.when(F.col("similarity") >= SURE, "place").when(F.col("similarity") >= LIKELY, "review").otherwise("new"))

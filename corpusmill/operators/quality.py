@@ -42,9 +42,18 @@ def content_rules(d: DataFrame) -> DataFrame:
 
 
 def improvements(d: DataFrame) -> DataFrame:
-    """Adds suggestions from id, version, tags, relationships, difficulty."""
-    s = said((_missing("id"), "Add unique ID"), (_missing("version"), "Add version number"), (F.size(F.coalesce("tags", F.array().cast("array<string>"))) == 0, "Consider adding tags"), (_missing("relationships"), "Consider adding relationships"), (_missing("difficulty"), "Suggest difficulty"))
-    return d.withColumn("suggestions", s)
+    """Adds suggestions from id, version, tags, relationships, difficulty and, where the columns are there, from what an analysis
+    found: keywords (five are named), subjects, topics, level, phrases (three are named). An absent column says nothing."""
+    has = lambda c: c in d.columns
+    named = lambda what, c, most: F.concat(F.lit(what), F.lit(": "), F.array_join(F.slice(c, 1, most), ", ")) if has(c) else F.lit(what)
+    none = F.array().cast("array<string>")
+    tagless = F.size(F.coalesce("tags", none)) == 0
+    rules = [(_missing("id"), F.lit("Add unique ID")), (_missing("version"), F.lit("Add version number")), (tagless, named("Consider adding tags", "keywords", 5)), (_missing("relationships"), F.lit("Consider adding relationships"))]
+    rules += [(F.lit(True), named(what, c, 10**6)) for what, c in (("Auto-detected subjects", "subjects"), ("Auto-detected topics", "topics")) if has(c)]
+    rules.append((_missing("difficulty"), F.concat(F.lit("Suggested difficulty: "), "level") if has("level") else F.lit("Suggest difficulty")))
+    if has("phrases"):
+        rules.append((F.size("phrases") > 0, named("Key phrases found", "phrases", 3)))
+    return d.withColumn("suggestions", F.filter(F.array(*[F.when(c, m) for c, m in rules]), lambda m: m.isNotNull()))
 
 
 def _json_type(c: Column, path: str) -> Column:

@@ -107,7 +107,7 @@ bt as (select b.doc_id, b.place, b.total, b.type, coalesce(string_agg(c.line, ch
 h as (select b.*, case when type = 'heading' then regexp_extract(k.line, {_HEAD}, ['m', 't']) end as g from b join k on k.doc_id = b.doc_id and k.n = b.line)"""
 _HEADS = f"{_BLOCKS}, hh as (select *, length(g.m)::bigint as level, {_TRIM('g.t')} as heading from h)"
 _SLUG = rf"substring(regexp_replace(regexp_replace(regexp_replace(lower(heading), '[^a-z0-9_\-{_W1}]', '', 'g'), '(?:{_W}|_)+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 50)"
-_R3 = lambda x: f"floor(({x}) * 1000 + 0.5::double) / 1000"
+_R3 = lambda x: f"floor(round({x}, 9) * 1000 + 0.5::double) / 1000"
 _WORTH = rf"""{_HEADS},
 bw as (select doc_id, place, unnest({tok("text")}) as term from bt), bc as (select doc_id, place, term, count(*) as n from bw group by all), bv as (select doc_id, place, term, n / max(n) over (partition by doc_id, place) as w from bc),
 bn as (select doc_id, place, sqrt(sum(w * w)) as norm from bv group by all),

@@ -70,15 +70,10 @@ def tagger_change(spark, d):
 
 
 def loom_placement(spark, d):
-    return P.placement(_strand_words(spark, d), T.tokens(F.col("summary")), P.PROFILE)
-
-
-def loom_placement_whole(spark, d):
-    """As loom_placement, by all words of the looms."""
     return P.placement(_strand_words(spark, d), T.tokens(F.col("summary")))
 
 
-QUERIES = {f.__name__: f for f in (index_entries, front_matter_split, front_matter_json, embedding_input, code_languages, sql_blocks, summary_cosine, tagger_change, loom_placement, loom_placement_whole)}
+QUERIES = {f.__name__: f for f in (index_entries, front_matter_split, front_matter_json, embedding_input, code_languages, sql_blocks, summary_cosine, tagger_change, loom_placement)}
 
 _S = "s as (select path, max(summary) as summary from strands where path is not null group by path), x as (select doc_id, d.path, title, text, summary from documents d left join s on s.path = d.path)"
 _FM = r"regexp_extract(text, '(?s)\A\x{FEFF}?---[ \t]*\r?\n(.*?)\r?\n---[ \t]*(?:\r?\n|\z)', 1)"
@@ -92,7 +87,7 @@ SQL = {
     "sql_blocks": f"{_HEADS} select hh.doc_id, place::bigint as place, type, sha256(array_to_string(string_split(text, chr(10))[line:end_line], chr(10))) as source from hh join docs on docs.doc_id = hh.doc_id",
     "summary_cosine": f"with {_S}, {_V('a', 'text')}, {_V('b', 'summary')}, d as (select av.doc_id, sum(av.w * bv.w) as dot from av join bv using (doc_id, term) group by 1) select an.doc_id, round(coalesce(dot, 0) / (an.norm * bn.norm), 6) as cosine from an join bn using (doc_id) left join d using (doc_id)",
     "loom_placement": f"""with s as (select path, min(weave || '/' || loom) as loom, max(summary) as summary from strands where path is not null group by path), w as (select path, loom, unnest({tok("summary")}) as term from s where summary is not null), t as (select path, loom, term, count(*) as n from w group by all),
-l as (select loom, term, sum(n) as w from t group by all), p0 as (select * from l qualify row_number() over (partition by loom order by w desc, term) <= {P.PROFILE}), p as (select loom as dest, term, w / sqrt(sum(w * w) over (partition by loom)) as p from p0), z as (select path, sqrt(sum(n * n)) as len from t group by 1),
-c as (select path, dest, round(sum(n * p) / any_value(len), 6) as similarity from t join p using (term) join z using (path) group by all), b as (select * from c qualify row_number() over (partition by path order by similarity desc, dest) = 1)
+l as (select loom, term, sum(n) as w from t group by all), p as (select loom as dest, term, w / sqrt(sum(w * w) over (partition by loom)) as p from l where loom is not null), z as (select path, sqrt(sum(n * n)) as len from t group by 1),
+c as (select path, dest, round(sum(n * p) / any_value(len), 6) as similarity from t join p using (term) join z using (path) group by all), b as (select * from (select z.path, dest, coalesce(similarity, 0) as similarity from z left join c on c.path = z.path) qualify row_number() over (partition by path order by similarity desc, dest) = 1)
 select path, dest as loom, similarity, case when similarity >= {P.SURE} then 'place' when similarity >= {P.LIKELY} then 'review' else 'new' end as decision from b""",
 }

@@ -146,6 +146,59 @@ def test_classification(spark):
     assert [(r.tag, r.tokens) for r in C.fuzzy_tags(d, tags).collect()] == [("Softwares", 1)]
 
 
+def test_stem_classification_levels(spark):
+    from corpusmill.functions.vocabulary import Vocabulary
+
+    def scores(text, vocabulary):
+        return {(r.category, r.name): (r.score, r.confidence) for r in C.stem_classify(docs(spark, [(1, text)]), vocabulary).collect()}
+
+    built_in = Vocabulary()
+    assert scores("Documentation", built_in)["subjects", "knowledge"] == (1.0, 0.1)
+    # As two words for one subject; one of the words speaks for another.
+    both = scores("machine learning", built_in)
+    assert both["subjects", "ai"] == (2.0, 0.2) and both["subjects", "knowledge"][0] == 1.5  # `machine` is near
+    # A file's terms and their stems are terms of their own.
+    own = Vocabulary({"subjects": {"x": ("documentation", "document")}, "topics": {"y": ("machine-learning", "machin-learn")}, "skills": {"tools": ("docker", "hands-on")}, "difficulty": built_in.categories["difficulty"]})
+    assert scores("documentation", own)["subjects", "x"][0] == 2.0
+    assert scores("machine learning", own)["topics", "y"] == (3.5 * 1.0, pytest.approx(3.5 / 6))
+    assert scores("learning by machines", own)["topics", "y"][0] == 3.0  # all parts apart, of the term and of its stem
+    got = scores("Docker hands-on basic simple", own)
+    assert got["skills", "docker"] == (1.0, pytest.approx(1 / 3)) and got["skills", "hands-on"][0] == 1.0 and got["difficulty", "beginner"] == (2.0, None)
+    assert scores("", own) == {("difficulty", "intermediate"): (0.0, None)}
+    # A hyphenated subject does not count as one word, a topic does; three words weigh most.
+    hyphen = Vocabulary({"subjects": {"s": ("deep-learning",)}, "topics": {"t": ("deep-learning", "state-of-art")}})
+    assert scores("deep-learning", hyphen) == {("topics", "t"): (1.0, pytest.approx(1 / 6)), ("difficulty", "intermediate"): (0.0, None)}
+    assert scores("state of art", hyphen)["topics", "t"][0] == 3.0
+
+
+def test_hits_with_and_without_the_automaton(spark, monkeypatch):
+    from corpusmill.functions.vocabulary import Vocabulary
+
+    d = docs(spark, [(1, "A TUTORIAL on api design and software"), (2, ""), (3, None)])
+    v = Vocabulary({"a": {"x": ("api", "tutorial", "none"), "y": ()}, "b": {"z": ("soft", "api")}})
+    want = {1: [[0, 1], [], [0, 1]], 2: [[], [], []], 3: [[], [], []]}
+    assert {r.doc_id: r.hits for r in C.with_hits(d, v).collect()} == want
+
+    def missing(v):
+        raise ImportError
+
+    monkeypatch.setattr(C, "hits", missing)
+    assert {r.doc_id: r.hits for r in C.with_hits(d, v).collect()} == want
+
+
+def test_folder_scores(spark):
+    d = spark.createDataFrame([(1, "Stars and stars", "Star chart", ["starlight", None]), (2, "nothing", None, None), (3, "cart", "x", [])], "doc_id bigint, text string, title string, tags array<string>")
+    got = {(r.doc_id, r.folder): (round(r.score, 4), r.rank, r.confidence) for r in C.folder_scores(d, {"sky": ["stars", "star"], "art": ["art"]}, "rest", "tags").collect()}
+    # `stars` twice as a token, `star` twice but as no token; title and tag hold `star` alone.
+    assert got == {(1, "sky"): (round(4 * C.SINGLE + 8, 4), 1, 0.75), (2, "rest"): (0.0, 1, 0.3), (3, "rest"): (0.0, 1, 0.3)}
+
+
+def test_improvements_from_an_analysis(spark):
+    d = spark.createDataFrame([("i", "1", ["t"], "r", "d", ["k"], ["ai"], ["x", "y"], "expert", ["p q"]), (None, None, None, None, None, ["k1", "k2"], [], [], "beginner", [])], "id string, version string, tags array<string>, relationships string, difficulty string, keywords array<string>, subjects array<string>, topics array<string>, level string, phrases array<string>")
+    got = [r.suggestions for r in Q.improvements(d).collect()]
+    assert got == [["Auto-detected subjects: ai", "Auto-detected topics: x, y", "Key phrases found: p q"], ["Add unique ID", "Add version number", "Consider adding tags: k1, k2", "Consider adding relationships", "Auto-detected subjects: ", "Auto-detected topics: ", "Suggested difficulty: beginner"]]
+
+
 def test_quality_rules(spark):
     d = spark.createDataFrame([("a/x.md", None, "short", "TODO: x"), ("a/wiki/y.md", "ok title", "s" * 301, "lorem ipsum " * 20)], "path string, title string, summary string, content string")
     r = {x.path: (x.errors, x.warnings) for x in Q.content_rules(d).collect()}

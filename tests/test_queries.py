@@ -45,7 +45,10 @@ def test_query_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_other_queries_run(spark, name):
-    assert entry.queries()[name](spark, DIR).count() >= 0
+    df = entry.queries()[name](spark, DIR)
+    assert len(set(df.columns)) == len(df.columns)
+    rows = df.collect()
+    assert rows and any(v is not None for v in rows[0])
 
 
 def test_entry(spark):
@@ -60,4 +63,4 @@ def test_classification_uses_the_whole_vocabulary(spark, tmp_path):
         r = entry.queries()[name](spark, str(tmp_path)).first()
         assert "security" in r.subjects and r.difficulty == "expert" and "python" in r.skills
     got = {(r.category, r.name) for r in entry.queries()["stem_classify"](spark, str(tmp_path)).collect()}
-    assert got >= {("subjects", "security"), ("difficulty", "expert"), ("skills", "programming-languages")}
+    assert got >= {("subjects", "security"), ("difficulty", "expert"), ("skills", "python")}
