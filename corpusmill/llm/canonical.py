@@ -122,7 +122,7 @@ def closest(values: DataFrame, refs: DataFrame) -> DataFrame:
     reference wins, an entry before an alias, then binary order.
     """
     seg = segments(refs if "slips" in refs.columns else refs.withColumn("slips", _slips(F.length("key"))))
-    q = probes(wide(values.select(F.col("key").alias("value")).where("value <> ''").distinct(), "value"))
+    q = probes(wide(values.select(F.col("key").alias("value")).where("value <> ''").distinct()))
     side = F.broadcast(seg) if bounded(refs, BROADCAST_REFS) else seg
     j = q.join(side, ["n", "i", "part"]).select("value", "key", "tag", "alias", "slips").distinct()
     same = F.col("value") == F.col("key")
@@ -152,7 +152,7 @@ def canonical_values(values: DataFrame, canonical: DataFrame) -> DataFrame:
     least = lambda df, c: df.groupBy(c).agg(F.min(F.struct("alias", "tag")).alias("x")).select(F.col(c).alias("key"), "x.tag", "x.alias")
     letters = r.select("key", "tag", "alias").distinct().withColumn("slips", _slips(F.length("key")))
     words = least(r, "skey").select(F.concat(F.lit(_WORDS), "key").alias("key"), "tag", "alias", F.lit(0).alias("slips"))
-    near = closest(v, letters.unionByName(words))
+    near = materialise(closest(v, letters.unionByName(words)), "nearest")  # read for the found and for the missing
     kind = F.when(F.startswith("key", F.lit(_WORDS)), 1).when(F.col("score") == 0, 0).otherwise(2)
     x = v.join(near, "key").withColumn("kind", kind)
     found = x.groupBy("raw_tag").agg(F.min(F.struct("kind", F.when(F.col("kind") == 2, F.col("score")).otherwise(F.col("form")).alias("s"), "d", "alias", "tag")).alias("x")).select("raw_tag", "x.tag")
