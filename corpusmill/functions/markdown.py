@@ -23,7 +23,7 @@ SHARES = {"topic_shift": 0.2, "entity_density": 0.25, "novelty": 0.2, "structura
 STRUCTURE = {"code": 0.7, "table": 0.65, "blockquote": 0.5}
 WORTHY, CONFIRMED = 0.5, 0.5
 UNIFIED = {"gate": 0.5, "most": 10, "vocabulary": 0.7, "document": 0.5}
-RICH = {"gate": 0.3, "most": 5, "least": 0.3, "vocabulary": 0.85, "history": 10}
+RICH = {"gate": 0.3, "most": 5, "least": 0.3, "vocabulary": 0.85, "history": 10, "synonym": 0.7}
 # Patterns that name a code block's language, the first that matches wins.
 LANGUAGES = (
     ("python", r"\b(def|import|from|class|self)\b"), ("javascript", r"\b(const|let|var|function|=>|async|await)\b"), ("typescript", r"\b(interface|type|enum|as|implements)\b"),
@@ -223,7 +223,7 @@ def distance(a: str, b: str, most: int) -> int:
     return min(row[-1], most + 1)
 
 
-def suggest_rich(text: str, kind: str, vocabulary: dict[str, str], document_tags: Sequence[str], history: Sequence[str]) -> list[Suggestion]:
+def suggest_rich(text: str, kind: str, vocabulary: dict[str, str], document_tags: Sequence[str], history: Sequence[str], synonyms: dict[str, str] | None = None) -> list[Suggestion]:
     """(tag, confidence, source, line) from six sources in order: inline tags, vocabulary n-grams, related document tags, related
     tags of blocks before, salient words, code language. Of equal tags the first counts; the five most confident are returned."""
     if not text.strip(_WS):
@@ -231,7 +231,8 @@ def suggest_rich(text: str, kind: str, vocabulary: dict[str, str], document_tags
     tokens = [w for w in re.split("[^a-z0-9_-]+", text.lower()) if len(w) > 2]
     grams = [" ".join(tokens[i : i + n]) for n in (1, 2, 3) for i in range(len(tokens) - n + 1)]
     out: list[Suggestion] = [(t, 1.0, "inline", n) for t, n in inline_tags(text)]
-    out += [(vocabulary[g], RICH["vocabulary"], "nlp", None) for g in grams if g in vocabulary]
+    other = synonyms or {}  # other names of a term, less sure than the term
+    out += [(vocabulary[g], RICH["vocabulary"], "nlp", None) if g in vocabulary else (other[g], RICH["synonym"], "nlp", None) for g in grams if g in vocabulary or g in other]
     for tags, fuzzy, top, base in ((document_tags, True, 0.75, 0.4), (history, False, 0.7, 0.35)):
         for t in tags:
             low = t.lower()

@@ -21,7 +21,7 @@ def _first_sentence(text: str) -> str | None:
     return next((s.strip(M._WS)[:200] for s in M.re.split("[.!?]+", text) if len(s.strip(M._WS)) > 10), None)
 
 
-def blocks(docs: DataFrame, tagger: str = "unified", vocabulary: Sequence[tuple[str, str, str]] | None = None, compat: bool = False) -> DataFrame:
+def blocks(docs: DataFrame, tagger: str = "unified", vocabulary: Sequence[tuple[str, str, str]] | None = None, compat: bool = False, synonyms: dict[str, str] | None = None) -> DataFrame:
     """One row per block of each document; docs has doc_id, text and tags (array<string>, may be null).
 
     Segmentation, scores and tags depend on one document only, so they are one narrow map: no shuffle, no state
@@ -46,7 +46,7 @@ def blocks(docs: DataFrame, tagger: str = "unified", vocabulary: Sequence[tuple[
                     if tagger == "unified" and s["score"] >= M.UNIFIED["gate"]:
                         t = M.suggest_unified(b.text, terms, tags)
                     elif tagger == "rich" and s["score"] >= M.RICH["gate"]:
-                        t = M.suggest_rich(b.text, b.kind, exact, tags, history)
+                        t = M.suggest_rich(b.text, b.kind, exact, tags, history, synonyms)
                         history = history[-M.RICH["history"] :] + [x[0] for x in t]
                     head = M.slug(b.heading) if b.heading else ""
                     brief = _first_sentence(b.text) if s["score"] >= M.WORTHY and b.kind == "paragraph" else None

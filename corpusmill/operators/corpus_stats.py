@@ -129,6 +129,13 @@ def packed(vectors: pd.Series) -> pd.Series:
     return vectors.map(lambda x: base64.b64encode(np.asarray(x, "<f4").tobytes()).decode(), na_action="ignore")
 
 
+def related(tags: DataFrame, least: int = 2) -> DataFrame:
+    """loom, other, shared: pairs of looms (loom < other) of tags(loom, tag) that share `least` tags at least."""
+    t = tags.where("loom is not null and tag is not null").distinct()
+    p = t.join(t.withColumnRenamed("loom", "other"), "tag").where("loom < other").groupBy("loom", "other").agg(F.count("*").alias("shared"))
+    return p.where(F.col("shared") >= least)
+
+
 #: Query vectors that are compared with all rows in one pass.
 QUERIES = 5_000
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusmill.functions import text as T
 from corpusmill.operators.skew import lookup
+from corpusmill.sources import corpus as R
 
 # What the two dialects allow.
 CONTENT_TYPES = {"code": ("markdown", "code", "data", "media"), "schema": ("lesson", "reference", "exercise", "assessment", "project", "discussion", "resource")}
@@ -84,6 +85,32 @@ def folder_rules(d: DataFrame, required: Sequence[str]) -> DataFrame:
     return d.withColumn("errors", said(*((_missing(c), f"Missing required field '{c}'") for c in required), (~_missing("slug") & ~T.slug_ok(F.col("slug")), "Slug must be lowercase alphanumeric with hyphens")))
 
 
+def file_messages(files: DataFrame, dialect: str = "schema") -> DataFrame:
+    """path, kind (error or warning), message of files (path, text), by what each is.
+
+    Markdown files are strands: their header by strand_rules(), their body by its length and by open marks. Files named
+    weave.yaml and loom.yaml need their fields; other YAML files need only be well-formed. A header or file that is no
+    YAML mapping gives one error and no other messages of its fields. Other files and null paths give none.
+    """
+    name, body = F.regexp_extract("path", "[^/]*$", 0), R.body(F.col("text"))
+    f = files.where("path is not null").select("path", F.coalesce("text", F.lit("")).alias("text")).withColumn("name", name)
+    md, yaml = F.col("name").endswith(".md"), F.col("name").rlike(r"\.ya?ml$")
+    f = f.where(md | yaml).withColumn("source", F.when(md, R.front_matter(F.col("text"))).when(F.trim("text") != "", F.col("text"))).withColumn("metadata", R.yaml_json("source"))
+    broken = F.col("source").isNotNull() & (F.col("metadata").isNull() | ~F.coalesce("metadata", F.lit("")).rlike(r"^(\{|null)"))
+    get = lambda p: F.get_json_object("metadata", f"$.{p}")
+    f = f.select("path", "name", "text", broken.alias("broken"), *(get(p).alias(c) for c, p in (("id", "id"), ("slug", "slug"), ("title", "title"), ("summary", "summary"), ("content_type", "contentType"), ("difficulty", "difficulty"), ("relationships", "relationships"), ("version", "version"))))
+    f = strand_rules(f, dialect).withColumnsRenamed({"errors": "strand_errors", "warnings": "strand_warnings"})
+    f = folder_rules(f, ("slug", "title")).withColumnRenamed("errors", "weave_errors")
+    f = folder_rules(f, ("slug", "title", "summary")).withColumnRenamed("errors", "loom_errors")
+    none = F.array().cast("array<string>")
+    errors = F.when(F.col("broken"), F.array(F.lit("Cannot be parsed"))).when(md, F.col("strand_errors")).when(F.col("name") == "weave.yaml", F.col("weave_errors")).when(F.col("name") == "loom.yaml", F.col("loom_errors")).otherwise(none)
+    marks = said((F.length(F.trim(body)) < 100, "Content is very short (< 100 characters)"), (body.rlike("(?i)TODO:|FIXME:"), "Contains TODO/FIXME comments"))
+    warnings = F.when(md, F.concat(F.when(F.col("broken"), none).otherwise(F.col("strand_warnings")), marks)).otherwise(none)
+    said_of = lambda kind, c: F.transform(c, lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("message")))
+    f = f.select("path", F.concat(said_of("error", errors), said_of("warning", warnings)).alias("m"))
+    return f.select("path", F.explode("m").alias("m")).select("path", "m.kind", "m.message")
+
+
 # Allowed words and ranges of the educational fields.
 WORDS = {
     "learningDesign.objectives[*].bloomsLevel": ("remember", "understand", "apply", "analyze", "evaluate", "create"),

@@ -43,11 +43,8 @@ def body(text: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def yaml_json(text: pd.Series) -> pd.Series:
-    """JSON of a YAML document; null for null, malformed YAML, or where no YAML library is installed."""
-    try:
-        import yaml
-    except ImportError:
-        return pd.Series([None] * len(text), dtype=object)
+    """JSON of a YAML document; null for null or malformed YAML. Fails where no YAML library is installed."""
+    import yaml
 
     def convert(t: str) -> str | None:
         try:
@@ -64,6 +61,51 @@ def read_strands(spark: SparkSession, root: str) -> DataFrame:
     return f.select("path", yaml_json(front_matter(F.col("text"))).alias("metadata"), body(F.col("text")).alias("text"), "mtime", "size")
 
 
+def header_kept(text: Column) -> Column:
+    """The YAML of a header that begins with the first character, by its lines of `---` alone; for readers that go on with the whole text, header included. Null if there is none."""
+    m = F.regexp_extract(text, r"(?s)\A---\n(.*?)\n---", 1)
+    return F.when(m != "", m)
+
+
+def with_header(text: Column, metadata: Column) -> Column:
+    """The text with `metadata` (JSON, which is YAML) as its front-matter in place of its own; unchanged where that is null.
+
+    Sources are not written to: the result goes to a table or folder of its own.
+    """
+    return F.when(metadata.isNull(), text).otherwise(F.concat(F.lit("---\n"), metadata, F.lit("\n---\n"), body(text)))
+
+
+def write_files(df: DataFrame, root: str) -> None:
+    """Each row's `text` as the file `path` under `root`, which must be a folder that all executors reach; written by the tasks.
+
+    A file is written beside its place and renamed into it, so a repeated task leaves one whole file. A path that
+    leaves `root` fails. Rows without path or text are left out; of rows with one path any may stay.
+    """
+    base = root.removeprefix("file://")
+
+    def put(rows) -> None:
+        import os
+        import uuid
+
+        for r in rows:
+            at = os.path.normpath(os.path.join(base, r["path"]))
+            if not at.startswith(os.path.normpath(base) + os.sep):
+                raise ValueError(f"{r['path']} leaves {root}")
+            os.makedirs(os.path.dirname(at), exist_ok=True)
+            with open(f"{at}.{uuid.uuid4().hex}", "w", encoding="utf-8", newline="") as f:
+                f.write(r["text"])
+            os.replace(f.name, at)
+
+    df.select("path", "text").where("path is not null and text is not null").foreachPartition(put)
+
+
+def read_yaml(spark: SparkSession, root: str, name: str | None = None) -> DataFrame:
+    """path, text, metadata (JSON, null if malformed), mtime, size of the YAML files under `root`, or of those of one name, such as the descriptions of weaves and looms."""
+    f = read_files(spark, root, ("yaml", "yml"))
+    f = f if name is None else f.where(F.regexp_extract("path", "[^/]*$", 0) == name)
+    return f.select("path", "text", yaml_json("text").alias("metadata"), "mtime", "size")
+
+
 def strand_template(title: str, identifier: str) -> str:
     """A new document's text: front-matter with id, slug, title and version, and a heading."""
     name = re.sub("[^a-z0-9]+", "-", title.lower())
@@ -94,6 +136,31 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def write_document(df: DataFrame, path: str, **fields: object) -> None:
+    """One JSON document: the given fields, and the rows as the list `entries`. Rows stream through the driver, which holds one partition at a time."""
+    with open(path.removeprefix("file://"), "w", encoding="utf-8") as f:
+        f.write(json.dumps(fields, default=str)[:-1] + (", " if fields else "") + '"entries": [')
+        for i, r in enumerate(df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toLocalIterator()):
+            f.write(("," if i else "") + r[0])
+        f.write("]}")
+
+
+def write_cache(df: DataFrame, path: str, table: str) -> None:
+    """The rows as one table of an SQLite file, in place of that table; for one machine's tools. Arrays and structs become JSON. Rows stream through the driver."""
+    import sqlite3
+
+    kinds = {"bigint": "INTEGER", "int": "INTEGER", "boolean": "INTEGER", "double": "REAL", "float": "REAL"}
+    plain = [F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in df.dtypes]
+    db = sqlite3.connect(path)
+    try:
+        with db:  # all or nothing
+            db.execute(f'drop table if exists "{table}"')
+            db.execute(f'create table "{table}" ({", ".join(f"{chr(34)}{c}{chr(34)} {kinds.get(t, "TEXT")}" for c, t in df.dtypes)})')
+            db.executemany(f'insert into "{table}" values ({", ".join("?" * len(df.columns))})', (tuple(r) for r in df.select(*plain).toLocalIterator()))
+    finally:
+        db.close()
+
+
 def write_table(df: DataFrame, path: str, by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
     """Parquet, partitioned by `by`: rows of one value go to few files, and a hot value to several."""
     w = df

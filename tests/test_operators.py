@@ -271,6 +271,56 @@ def test_corpus_files(spark, tmp_path):
     assert got == {"a/x.md": ('{"title": "T", "tags": ["q"]}', "Body"), "f.md": (None, "plain"), "g.md": (None, "B")}
 
 
+def test_header_is_replaced_and_files_written(spark, tmp_path):
+    d = spark.createDataFrame([("a/x.md", "---\nid: 1\n---\nBody\n", '{"id": 2}'), ("y.md", "plain", None), (None, "t", None)], "path string, text string, metadata string")
+    assert [r[0] for r in d.where("path is not null").select(R.header_kept(F.col("text"))).collect()] == ["id: 1", None]
+    out = d.select("path", R.with_header(F.col("text"), F.col("metadata")).alias("text"))
+    for _ in range(2):
+        R.write_files(out, f"file://{tmp_path}/out")
+    pytest.importorskip("yaml")
+    assert {(r.path, r.metadata, r.text) for r in R.read_strands(spark, f"{tmp_path}/out").collect()} == {("a/x.md", '{"id": 2}', "Body\n"), ("y.md", None, "plain")}
+    with pytest.raises(Exception, match="leaves"):
+        R.write_files(spark.createDataFrame([("../x", "t")], "path string, text string"), str(tmp_path / "out"))
+
+
+def test_file_messages(spark):
+    pytest.importorskip("yaml")
+    files = {
+        "w/weave.yaml": "slug: Bad Slug\ntitle: T", "w/l/loom.yaml": "slug: l\ntitle: T\nsummary: S", "w/l/other.yaml": "a: [", "w/l/bad.md": "---\nx: [\n---\n" + "b" * 200, "w/l/ok.md": "---\nid: 6f1c9a52-3c0e-4c1b-9a77-0d6a5b1f2e3d\nslug: s\ntitle: T\nversion: 1.0\n---\n" + "b" * 200,
+        "w/l/plain.md": "todo: x", "n.txt": "x",
+    }
+    d = spark.createDataFrame([*files.items(), (None, "x")], "path string, text string")
+    got = {}
+    for r in Q.file_messages(d).collect():
+        got.setdefault(r.path, set()).add((r.kind[0], r.message))
+    need = {("e", f"Missing required field '{c}'") for c in ("id", "slug", "title")}
+    assert got == {
+        "w/weave.yaml": {("e", "Slug must be lowercase alphanumeric with hyphens")}, "w/l/other.yaml": {("e", "Cannot be parsed")}, "w/l/bad.md": {("e", "Cannot be parsed")},
+        "w/l/ok.md": {("w", "Version should follow semver format (x.y.z)")}, "w/l/plain.md": need | {("w", "Content is very short (< 100 characters)"), ("w", "Contains TODO/FIXME comments")},
+    }
+
+
+def test_documents_and_cache_are_read_back(spark, tmp_path):
+    d = spark.createDataFrame([("a", 1, 0.5, ["x"]), (None, None, None, None)], "path string, mtime bigint, score double, tags array<string>")
+    R.write_cache(d, str(tmp_path / "c.db"), "files")
+    R.write_cache(d, str(tmp_path / "c.db"), "files")
+    assert {tuple(r) for r in R.read_cache(spark, str(tmp_path / "c.db"), "files").collect()} == {("a", 1, 0.5, '["x"]'), (None, None, None, None)}
+    R.write_document(d, f"{tmp_path}/i.json", version="1")
+    import json
+
+    doc = json.loads((tmp_path / "i.json").read_text())
+    assert doc["version"] == "1" and len(doc["entries"]) == 2 and {"path": "a", "mtime": 1, "score": 0.5, "tags": ["x"]} in doc["entries"]
+
+
+def test_related_and_synonyms(spark):
+    t = spark.createDataFrame([("a", "x"), ("b", "x"), ("a", "y"), ("b", "y"), ("c", "y"), ("c", None)], "loom string, tag string")
+    assert [tuple(r) for r in S.related(t).collect()] == [("a", "b", 2)] and S.related(t, 1).count() == 3
+    from corpusmill.functions.markdown import suggest_rich
+
+    got = suggest_rich("retrieval of llm output", "paragraph", {"retrieval": "retrieval"}, [], [], {"llm": "language-model"})
+    assert ("retrieval", 0.85, "nlp", None) in got and ("language-model", 0.7, "nlp", None) in got
+
+
 def test_template_is_read_back(spark):
     pytest.importorskip("yaml")
     d = spark.createDataFrame([(R.strand_template('A "new" page', "x-1"),)], "text string").select(R.yaml_json(R.front_matter(F.col("text"))).alias("m"), R.body(F.col("text")).alias("b")).first()
