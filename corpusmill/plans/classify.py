@@ -17,8 +17,7 @@ def _tags(spark, d):
 
 
 def substring_vocab_match(spark, d):
-    x, v = docs(spark, d), Vocabulary.shipped()
-    return C.matches(x, v, "subjects").unionByName(C.matches(x, v, "topics")).select("doc_id", "name", "matches", F.round("confidence", 6).alias("confidence"))
+    return C.matches(docs(spark, d), Vocabulary.shipped(), "subjects", "topics").select("doc_id", "name", "matches", F.round("confidence", 6).alias("confidence"))
 
 
 def difficulty_argmax(spark, d):

@@ -17,7 +17,7 @@ from corpusmill.sources import corpus as R
 
 def _full(spark, d):
     s = table(spark, d, "strands").where("path is not null").groupBy("path").agg(F.max("summary").alias("summary"))
-    return spread(table(spark, d, "documents").select("doc_id", "path", "title", "text")).join(s, "path", "left")
+    return spread(table(spark, d, "documents").select("doc_id", "path", "title", "text").join(s, "path", "left"), "doc_id")
 
 
 def _strand_words(spark, d):

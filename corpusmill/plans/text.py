@@ -12,7 +12,7 @@ STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
 
 def docs(spark, d):
     """doc_id, text ('' for null), path, title."""
-    return spread(table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "path", "title"))
+    return spread(table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "path", "title"), "doc_id")
 
 
 def _counts(spark, d, words):

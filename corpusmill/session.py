@@ -37,14 +37,15 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """`df` in at least as many partitions as there are cores.
 
     For narrow work that takes long per row. A small file is one partition and would keep one core busy; input that
     already has a partition for each core - any of more than some hundred MB - is left as it is, without a shuffle.
+    With `keys` rows are placed by their hash, so that groupings by them, or by them and more, need no further shuffle.
     """
     n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df._jdf.queryExecution().toRdd().getNumPartitions() < n else df
+    return df.repartition(n, *keys) if df._jdf.queryExecution().toRdd().getNumPartitions() < n else df
 
 
 def wide(df: DataFrame, *keys: str) -> DataFrame:
