@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from corpusmill.functions import stem as S, text as T
 from corpusmill.functions.vocabulary import FALLBACK
 from corpusmill.operators import corpus_stats as C
-from corpusmill.plans.text import DOCS, docs, tok
+from corpusmill.plans.text import DOCS, STOP_WORDS, docs, tok
 from corpusmill.session import table
 
 TERMS = ("guide", "table", "notes")
-_W = lambda: T.tokens(F.col("text"), stop=T.STOP_WORDS)
+_W = lambda: T.tokens(F.col("text"), stop=STOP_WORDS)
 _ALL = lambda: T.tokens(F.col("text"))
 
 

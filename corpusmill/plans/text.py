@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.functions import text as T
+from corpusmill.functions.vocabulary import Vocabulary
 from corpusmill.session import spread, table
 
-STOP = ", ".join(f"'{w}'" for w in T.STOP_WORDS)
+#: Stop words of the vocabulary, with their stems.
+STOP_WORDS = Vocabulary.shipped().stop_words
+STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
 def docs(spark, d):
@@ -20,7 +23,7 @@ def _counts(spark, d, words):
 
 
 def token_counts(spark, d):
-    return _counts(spark, d, T.tokens(F.col("text"), stop=T.STOP_WORDS))
+    return _counts(spark, d, T.tokens(F.col("text"), stop=STOP_WORDS))
 
 
 def token_counts_all(spark, d):
@@ -32,13 +35,13 @@ def token_counts_hyphen(spark, d):
 
 
 def token_counts_terms(spark, d):
-    return _counts(spark, d, T.tokens(F.col("text"), keep=r"\-", least=2, stop=T.STOP_WORDS))
+    return _counts(spark, d, T.tokens(F.col("text"), keep=r"\-", least=2, stop=STOP_WORDS))
 
 
 def stopword_share(spark, d):
     """How many tokens of a language are stop words."""
     t = T.exploded(table(spark, d, "documents").select(F.lower(F.coalesce("lang", F.lit("?"))).alias("lang"), "text"), ["lang"], T.tokens(F.coalesce("text", F.lit("")), least=1), "w")
-    return t.where("w <> ''").groupBy("lang").agg(F.count("*").alias("tokens"), F.count_if(F.col("w").isin(*T.STOP_WORDS)).alias("stops"))
+    return t.where("w <> ''").groupBy("lang").agg(F.count("*").alias("tokens"), F.count_if(F.col("w").isin(*STOP_WORDS)).alias("stops"))
 
 
 def normal_terms(spark, d):
@@ -72,7 +75,7 @@ def inline_tag_lines(spark, d):
 
 
 def summary_sentence(spark, d):
-    return T.with_summary(docs(spark, d)).select("doc_id", "summary")
+    return T.with_summary(docs(spark, d), stop=STOP_WORDS).select("doc_id", "summary")
 
 
 def readability(spark, d):
