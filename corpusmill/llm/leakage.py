@@ -67,9 +67,11 @@ def leaks(documents: DataFrame, items: DataFrame, run: int = 12, slop: int = 0)
     found; repeated rows count once; empty tables give no rows.
 
     The positional postings of the passages' words over the whole corpus are written once, whatever the number of
-    items. The lists of the rarest words of every window, `slop` more than ANCHORS so that some may be missing, are
-    intersected after subtracting offsets: a match lies on one diagonal, so ANCHORS of them meet there. The surviving
-    diagonals are filled in from the full lists. Work follows the postings of rare words, not documents times items.
+    items. The lists of the rarest words of every window are intersected after subtracting offsets: a match lies on one
+    diagonal, so ANCHORS of them meet there. With slop, ANCHORS + slop words of a window are looked up and all but one of
+    them have to meet on a diagonal or within `slop` of it, so a near match of which no window has that is not found;
+    exact runs always are. The surviving diagonals are filled in from the full lists. Work follows the postings of
+    rare words, not documents times items.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     p = items.select("item_id", words(F.col("passage")).alias("w")).where("item_id is not null and w is not null").distinct()
@@ -83,9 +85,11 @@ def leaks(documents: DataFrame, items: DataFrame, run: int = 12, slop: int = 0)
     side = (lambda df: F.broadcast(df)) if bounded(anchors, BROADCAST_ROWS) else (lambda df: df)
     hits = index.join(side(anchors), "tid").select("doc_id", "pid", (F.col("pos") - F.col("off")).alias("diagonal"), "off")
     shifts = F.sequence(F.lit(-slop), F.lit(slop))
-    if slop:
-        hits = hits.select("doc_id", "pid", "off", F.explode(shifts).alias("shift"), F.col("diagonal").alias("d")).select("doc_id", "pid", (F.col("d") + F.col("shift")).alias("diagonal"), "off")
-    diagonals = hits.groupBy("doc_id", "pid", "diagonal").agg(F.count_distinct("off").alias("n")).where(F.col("n") >= ANCHORS).drop("n")
+    diagonals = hits.groupBy("doc_id", "pid", "diagonal").agg(F.count_distinct("off").alias("n"))
+    if slop:  # anchors of the diagonals around each
+        near = Window.partitionBy("doc_id", "pid").orderBy("diagonal").rangeBetween(-slop, slop)
+        diagonals = diagonals.withColumn("n", F.sum("n").over(near))
+    diagonals = diagonals.where(F.col("n") >= ANCHORS + max(0, slop - 1)).drop("n")
     full = placed.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("off", "tid"))).alias("ws"))  # the words of one passage
     side = (lambda df: F.broadcast(df)) if bounded(placed, BROADCAST_WORDS) else (lambda df: df)
     want = diagonals.join(side(full), "pid").select("doc_id", "pid", "diagonal", F.explode("ws").alias("w")).select("doc_id", "pid", "diagonal", "w.off", "w.tid")
